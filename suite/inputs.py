@@ -60,21 +60,21 @@ def diamonds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The diamonds as rings in degrees, with the hole as a second ring."""
 
-    def ring(half: Column) -> Column:
-        corners = [(0, -1), (1, 0), (0, 1), (-1, 0), (0, -1)]
-        return F.array(
-            *[
-                F.struct(
-                    ((F.col("cx") + 0.25 + half * dx) / 4000.0 - 180.0).alias("x"),
-                    (90.0 - (F.col("cy") + 0.125 + half * dy) / 4000.0).alias("y"),
-                )
-                for dx, dy in corners
-            ]
+    corners = F.array(
+        *[
+            F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+            for dx, dy in [(0, -1), (1, 0), (0, 1), (-1, 0), (0, -1)]
+        ]
+    )
+
+    def corner(half: Column, at: Column) -> Column:
+        return F.struct(
+            ((F.col("cx") + 0.25 + half * at["dx"]) / 4000.0 - 180.0).alias("x"),
+            (90.0 - (F.col("cy") + 0.125 + half * at["dy"]) / 4000.0).alias("y"),
         )
 
-    rings = F.when(F.col("hole") > 0, F.array(ring(F.col("w")), ring(F.col("hole")))).otherwise(
-        F.array(ring(F.col("w")))
-    )
+    halves = F.filter(F.array("w", F.col("hole").cast("bigint")), lambda half: half > 0)
+    rings = F.transform(halves, lambda half: F.transform(corners, lambda at: corner(half, at)))
     return diamonds(spark, sf_dir).select("list_id", "location_id", rings.alias("rings"))
 
 
@@ -87,20 +87,33 @@ def _tile(keyed: DataFrame, layer: str, cell) -> DataFrame:
         (F.lit(COL0) + number % ACROSS).cast("int").alias("key_col"),
         (F.lit(ROW0) + F.floor(number / ACROSS)).cast("int").alias("key_row"),
         F.lit(layer).alias("layer"),
-        F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: cell(i).cast("int")).alias("cells"),
+        F.transform(F.sequence(F.lit(0), F.lit(99)), cell).alias("cells"),
     )
 
 
 def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One 10 x 10 tile per order and layer. Peat comes from line items, so orders without
     any have no peat tile; segments past the last order have no tile at all."""
+    k, m = F.col("k"), F.col("m")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("m"))
+    # a row grows to a hundred cells per layer: spread the rows of one small file before that
+    orders = orders.repartition(spark.sparkContext.defaultParallelism, "k")
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_suppkey").alias("m"))
-    k, m = F.col("k"), F.col("m")
-    loss = _tile(orders, LAYERS.loss, lambda i: F.when((k + i) % 17 != 0, (k * 7 + i * 13) % 24))
-    density = _tile(orders, LAYERS.density, lambda i: (m + i * 31) % 101)
-    primary = _tile(orders, LAYERS.primary, lambda i: ((k + i) % 3 == 0).cast("int"))
-    peat = _tile(lines, LAYERS.peat, lambda i: ((m + i) % 5 == 0).cast("int"))
+    # reduce the numbers first, so that the cells are int arithmetic
+    orders = orders.select(
+        "k",
+        (k % 17).cast("int").alias("k17"),
+        (k * 7 % 24).cast("int").alias("k24"),
+        (k % 3).cast("int").alias("k3"),
+        (m % 101).cast("int").alias("m101"),
+    )
+    lines = lines.select("k", (m % 5).cast("int").alias("m5"))
+    loss = _tile(
+        orders, LAYERS.loss, lambda i: F.when((F.col("k17") + i) % 17 != 0, (F.col("k24") + i * 13) % 24)
+    )
+    density = _tile(orders, LAYERS.density, lambda i: (F.col("m101") + i * 31) % 101)
+    primary = _tile(orders, LAYERS.primary, lambda i: ((F.col("k3") + i) % 3 == 0).cast("int"))
+    peat = _tile(lines, LAYERS.peat, lambda i: ((F.col("m5") + i) % 5 == 0).cast("int"))
     return loss.unionByName(density).unionByName(primary).unionByName(peat)
 
 

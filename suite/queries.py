@@ -144,15 +144,16 @@ def pixel_agg_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def histogram_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     tiles = lay.layer_tiles(inputs.tiles(spark, sf_dir), LAYERS.loss)
-    hists = tiles.select((F.col("key_col") % 4).alias("list_id"), agg.tile_histogram(F.col(LAYERS.loss)).alias("total"))
+    hists = agg.tile_histograms(tiles, [*KEY], LAYERS.loss, None, SMALL, "total")
+    hists = hists.select((F.col("key_col") % 4).alias("list_id"), "total")
     return agg.map_rows(agg.histogram_agg(hists, ["list_id"], ["total"]), ["list_id"], ["total"])
 
 
 @query
 def histogram_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     tiles = stacked(spark, sf_dir, [LAYERS.loss, LAYERS.primary])
-    hist = agg.tile_histogram(F.col(LAYERS.loss), F.col(LAYERS.primary))
-    scaled = tiles.select(*KEY, agg.scale_histogram(hist, pixel_area_ha(SMALL, F.col("key_row"))).alias("h"))
+    hists = agg.tile_histograms(tiles, [*KEY], LAYERS.loss, LAYERS.primary, SMALL, "hist")
+    scaled = hists.select(*KEY, agg.scale_histogram(F.col("hist"), pixel_area_ha(SMALL, F.col("key_row"))).alias("h"))
     rows = scaled.select(*KEY, F.posexplode("h").alias("bucket", "area"))
     return rounded(rows, ["area"], 6)
 
@@ -370,7 +371,7 @@ def criterion_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def tile_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = [LAYERS.loss, LAYERS.density, LAYERS.peat]
-    cells = lay.explode_tiles(stacked(spark, sf_dir, layers), layers, SMALL.cells)
+    cells = lay.explode_tiles(stacked(spark, sf_dir, layers), layers, SMALL)
     return cells.groupBy("key_row", "cell").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"sum_{i}") for i, c in enumerate(layers)]
     )

@@ -11,6 +11,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonal.functions.grid import Grid
+from zonal.operators.layers import explode_tiles
+
 # Fixed value: slots of a year histogram; slot 0 is "no loss", slot 1 the first year.
 BUCKETS = 32
 
@@ -40,9 +43,9 @@ def dense_maps(long: DataFrame, by: list[str], names: list[str]) -> DataFrame:
     )
 
     def dense(name: str) -> Column:
-        slots = F.sequence(F.lit(0), F.lit(BUCKETS - 1))
-        value = lambda slot: F.coalesce(F.try_element_at("held", slot)[name], F.lit(0.0))
-        return F.map_from_arrays(slots, F.transform(slots, value)).alias(name)
+        # written out per slot: a lambda over the slots would leave generated code
+        values = [F.coalesce(F.try_element_at("held", F.lit(i))[name], F.lit(0.0)) for i in range(BUCKETS)]
+        return F.map_from_arrays(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), F.array(*values)).alias(name)
 
     return held.select(*by, *[dense(name) for name in names])
 
@@ -82,19 +85,18 @@ def zonal_histogram(
     return sums_by_bucket(pixels, by, year_bucket(year, strict), counts)
 
 
-def tile_histogram(tile: Column, weight: Column | None = None) -> Column:
-    """The 32-slot histogram of one tile, as an array; with `weight`, of another tile's values."""
-    slots = F.sequence(F.lit(0), F.lit(BUCKETS - 1))
-    if weight is None:
-        return F.transform(slots, lambda slot: F.size(F.filter(tile, lambda x: x == slot)).cast("double"))
-    pairs = F.zip_with(tile, weight, lambda x, w: F.struct(x.alias("x"), w.cast("double").alias("w")))
-
-    def slot_sum(slot: Column) -> Column:
-        return F.aggregate(
-            pairs, F.lit(0.0), lambda total, p: total + F.when(p["x"] == slot, F.coalesce(p["w"], F.lit(0.0))).otherwise(0.0)
-        )
-
-    return F.transform(slots, slot_sum)
+def tile_histograms(
+    tiles: DataFrame, by: list[str], value: str, weight: str | None, grid: Grid, name: str = "histogram"
+) -> DataFrame:
+    """The 32-slot histogram of each tile as ARRAY<DOUBLE>: cells per value, or the sum of
+    another tile's cells per value. One pass over the cells, one row per tile shuffled."""
+    layers = [value] if weight is None else [value, weight]
+    amount = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    cell_rows = explode_tiles(tiles.select(*by, *layers), layers, grid)
+    numbered = cell_rows.select(*by, year_bucket(F.col(value)).alias("bucket"), amount.alias("amount"))
+    slots = [F.sum(F.when(F.col("bucket") == i, F.col("amount"))).alias(f"slot_{i}") for i in range(BUCKETS)]
+    filled = [F.coalesce(f"slot_{i}", F.lit(0.0)) for i in range(BUCKETS)]
+    return numbered.groupBy(*by).agg(*slots).select(*by, F.array(*filled).alias(name))
 
 
 def map_rows(df: DataFrame, by: list[str], names: list[str]) -> DataFrame:

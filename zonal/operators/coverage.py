@@ -20,6 +20,9 @@ from zonal.operators.staging import add_salt, hot_groups, stage
 LOC = ("list_id", "location_id")
 RULES = ("center", "all_touched")
 
+# Rows of one piece of an edge.
+BAND = 512
+
 # Locations whose masks may share one row of a cell map.
 MAP_ENTRIES = 64
 
@@ -58,22 +61,34 @@ def polygon_edges(locations: DataFrame, scale_x, scale_y) -> DataFrame:
     )
 
 
-def _downward(edges: DataFrame) -> DataFrame:
-    """Order the ends by y, so two polygons sharing an edge compute the same crossings."""
+def spread_edges(edges: DataFrame) -> DataFrame:
+    """Prepare edges for expansion into rows: ends ordered by y, so two polygons sharing an
+    edge compute the same crossings; long edges listed once per band of rows; equal edges
+    merged. The grouped sum does three things: copies of a polygon collapse before the
+    shuffle, borders between touching parts of a location cancel out, and the pieces of a
+    big polygon land on all tasks, however few files or rows it came in."""
     flip = (F.col("y1") > F.col("y2")) | ((F.col("y1") == F.col("y2")) & (F.col("x1") > F.col("x2")))
-    return edges.select(
+    ordered = edges.select(
         *LOC,
         F.when(flip, -F.col("turn")).otherwise(F.col("turn")).alias("weight"),
         F.when(flip, F.col("x2")).otherwise(F.col("x1")).alias("xt"),
         F.when(flip, F.col("y2")).otherwise(F.col("y1")).alias("yt"),
         F.when(flip, F.col("x1")).otherwise(F.col("x2")).alias("xb"),
         F.when(flip, F.col("y1")).otherwise(F.col("y2")).alias("yb"),
+    ).where((F.col("xt") != F.col("xb")) | (F.col("yt") != F.col("yb")))
+    first, last = [F.floor(F.col(y) / F.lit(BAND)).cast("int") for y in ("yt", "yb")]
+    pieces = ordered.withColumn("band", F.explode(F.sequence(first, last)))
+    return (
+        pieces.groupBy(*LOC, "band", "xt", "yt", "xb", "yb")
+        .agg(F.sum("weight").alias("weight"))
+        .where("weight <> 0")
     )
 
 
 def _rows(first: Column, last: Column, height: int) -> Column:
-    first = F.greatest(first, F.lit(0)).cast("int")
-    last = F.least(last, F.lit(height - 1)).cast("int")
+    top = F.col("band") * F.lit(BAND)
+    first = F.greatest(first, top, F.lit(0)).cast("int")
+    last = F.least(last, top + F.lit(BAND - 1), F.lit(height - 1)).cast("int")
     return F.explode(F.when(first <= last, F.sequence(first, last)))
 
 
@@ -86,39 +101,50 @@ def _x_at(y: Column) -> Column:
     return F.col("xt") + (y - F.col("yt")) * slope
 
 
-def _crossings(edges: DataFrame, width: int, height: int) -> DataFrame:
-    """Steps of the difference array at pixel centres; a centre on an edge goes right/down."""
+def _center_column(width: int) -> Column:
+    """First pixel whose centre is right of the edge in row r; a centre on the edge counts."""
     half = F.lit(0.5)
-    sloped = edges.where(F.col("yt") < F.col("yb"))
-    rows = sloped.withColumn("r", _rows(F.ceil(F.col("yt") - half), F.ceil(F.col("yb") - half) - 1, height))
-    column = _clip(F.ceil(_x_at(F.col("r") + half) - half), width)
-    return rows.select(*LOC, "r", column.alias("c"), "weight")
+    return _clip(F.ceil(_x_at(F.col("r") + half) - half), width)
+
 
+def _center_steps(pieces: DataFrame, width: int, height: int) -> DataFrame:
+    """Steps of the difference array where an edge passes between pixel centres."""
+    first, last = F.ceil(F.col("yt") - F.lit(0.5)), F.ceil(F.col("yb") - F.lit(0.5)) - 1
+    rows = pieces.where(F.col("yt") < F.col("yb")).withColumn("r", _rows(first, last, height))
+    return rows.select(*LOC, "r", _center_column(width).alias("c"), "weight")
 
-def _touches(edges: DataFrame, width: int, height: int) -> DataFrame:
-    """Steps that fill every pixel an edge passes through, row by row."""
+
+def _touch_steps(pieces: DataFrame, width: int, height: int) -> DataFrame:
+    """The centre steps, and steps that fill every pixel an edge passes through."""
     top = F.floor("yt")
-    rows = edges.withColumn("r", _rows(top, F.greatest(top, F.ceil("yb") - 1), height))
+    rows = pieces.withColumn("r", _rows(top, F.greatest(top, F.ceil("yb") - 1), height))
     flat = F.col("yt") == F.col("yb")
+    center = F.col("r") + F.lit(0.5)
     xa = F.when(flat, F.col("xt")).otherwise(_x_at(F.greatest(F.col("yt"), F.col("r"))))
     xb = F.when(flat, F.col("xb")).otherwise(_x_at(F.least(F.col("yb"), F.col("r") + 1)))
-    rows = rows.select(*LOC, "r", F.least(xa, xb).alias("lo"), F.greatest(xa, xb).alias("hi"))
+    rows = rows.select(
+        *LOC,
+        "r",
+        F.least(xa, xb).alias("lo"),
+        F.greatest(xa, xb).alias("hi"),
+        F.when((F.col("yt") <= center) & (center < F.col("yb")), _center_column(width)).alias("c"),
+        "weight",
+    )
     start = F.floor("lo")
     steps = F.array(
-        F.struct(_clip(start, width).alias("c"), F.lit(1).alias("weight")),
-        F.struct(_clip(F.greatest(start + 1, F.ceil("hi")), width).alias("c"), F.lit(-1).alias("weight")),
+        F.struct(_clip(start, width).alias("c"), F.lit(1).cast("bigint").alias("weight")),
+        F.struct(_clip(F.greatest(start + 1, F.ceil("hi")), width).alias("c"), F.lit(-1).cast("bigint").alias("weight")),
+        F.struct("c", "weight"),
     )
-    return rows.select(*LOC, "r", F.inline(steps))
+    return rows.select(*LOC, "r", F.inline(steps)).where(F.col("c").isNotNull())
 
 
 def _spans(edges: DataFrame, width: int, height: int, rule: str) -> DataFrame:
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
-    edges = _downward(edges)
-    steps = _crossings(edges, width, height)
-    if rule == "all_touched":
-        steps = steps.unionByName(_touches(edges, width, height))
-    # Partial sums run before the shuffle, so a million copies of a polygon cost one row per step.
+    expand = _center_steps if rule == "center" else _touch_steps
+    steps = expand(spread_edges(edges), width, height)
+    # Partial sums run before the shuffle, so a million parts in one place cost one row per step.
     steps = steps.groupBy(*LOC, "r", "c").agg(F.sum("weight").alias("weight")).where("weight <> 0")
     along = Window.partitionBy(*LOC, "r").orderBy("c")
     depth = steps.select(
@@ -155,21 +181,15 @@ def coverage_runs(locations: DataFrame, grid: Grid, rule: str = "center") -> Dat
 
 def coverage_cells(locations: DataFrame, grid: Grid, rule: str = "center") -> DataFrame:
     """One row per location and segment with `runs`, the sorted [i0, i1) ranges of covered
-    cells in row-major order, and `n_pixels`. A group is bounded by the cells of a block."""
+    cells in row-major order, none longer than a block row, and `n_pixels`. A group is
+    bounded by the cells of a block."""
     offset = F.col("r") * F.lit(grid.block)
     run = F.struct((offset + F.col("c0")).alias("i0"), (offset + F.col("c1")).alias("i1"))
-    cells = (
+    return (
         coverage_runs(locations, grid, rule)
         .groupBy(*LOC, *KEY)
         .agg(F.sort_array(F.collect_list(run)).alias("runs"), F.sum(F.col("c1") - F.col("c0")).alias("n_pixels"))
     )
-    whole = F.array(F.struct(F.lit(0).alias("i0"), F.lit(grid.cells).alias("i1")))
-    return cells.withColumn("runs", F.when(F.col("n_pixels") == grid.cells, whole).otherwise(F.col("runs")))
-
-
-def covered_cell_numbers(runs: Column) -> Column:
-    """The cell numbers inside `runs` as one int array."""
-    return F.flatten(F.transform(runs, lambda run: F.sequence(run["i0"], run["i1"] - F.lit(1))))
 
 
 def coverage_pixels(locations: DataFrame, grid: Grid, rule: str = "center") -> DataFrame:

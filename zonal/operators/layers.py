@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonal.functions.grid import KEY, Grid
-from zonal.operators.coverage import LOC, coverage_cells, covered_cell_numbers, segment_cover
+from zonal.operators.coverage import LOC, coverage_cells, segment_cover
 from zonal.operators.staging import BROADCAST_ROWS, add_salt, bounded_broadcast, replicate_for_salt, stage
 
 # Coverage rows of one segment that one task may work through before the segment is split.
@@ -35,11 +35,32 @@ def join_layers(keys: DataFrame, tiles: DataFrame, layers: list[str], how: str =
     return stacked
 
 
-def explode_tiles(df: DataFrame, layers: list[str], cells: int) -> DataFrame:
+def explode_runs(df: DataFrame, layers: list[str], keep: list[str]) -> DataFrame:
+    """One row per cell of the runs in `runs`, with `cell` and the layers' values there.
+
+    The tiles are first cut to each run, then the cut is unfolded, so a row on its way
+    carries one run of cells and never a whole tile. Both steps are generators over plain
+    columns: they stay inside the join's generated code.
+    """
+    runs = df.select(*keep, *layers, F.inline("runs").alias("i0", "i1"))
+    first, length = F.col("i0") + F.lit(1), F.col("i1") - F.col("i0")
+    cuts = runs.select(*keep, "i0", length.alias("length"), *[F.slice(c, first, length).alias(c) for c in layers])
+    numbered = cuts.select(*keep, "i0", *layers, F.explode(F.sequence(F.lit(0), F.col("length") - F.lit(1))).alias("j"))
+    return numbered.select(
+        *keep, (F.col("i0") + F.col("j")).alias("cell"), *[F.get(c, F.col("j")).alias(c) for c in layers]
+    )
+
+
+def explode_tiles(df: DataFrame, layers: list[str], grid: Grid) -> DataFrame:
     """One row per cell of the stacked tiles; a missing tile gives NULL cells."""
+    rows = F.array(
+        *[
+            F.struct(F.lit(r * grid.block).alias("i0"), F.lit((r + 1) * grid.block).alias("i1"))
+            for r in range(grid.block)
+        ]
+    )
     keep = [c for c in df.columns if c not in layers]
-    numbered = df.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
-    return numbered.select(*keep, "cell", *[F.get(layer, F.col("cell")).alias(layer) for layer in layers])
+    return explode_runs(df.withColumn("runs", rows), layers, keep)
 
 
 def area_tiles(tiles: DataFrame, locations: DataFrame, grid: Grid, aoi_id: int = -1) -> DataFrame:
@@ -119,7 +140,4 @@ def covered_values(
         stack = replicate_for_salt(stack, hot, facts["hot"], on)
         on = [*on, "salt"]
     met = cells.join(stack.hint("merge"), on, "inner")
-    numbered = met.withColumn("cell", F.explode(covered_cell_numbers(F.col("runs"))))
-    return numbered.select(
-        *LOC, *KEY, *(carry or {}), "cell", *[F.get(layer, F.col("cell")).alias(layer) for layer in layers]
-    )
+    return explode_runs(met, layers, [*LOC, *KEY, *(carry or {})])

@@ -106,8 +106,7 @@ def loss_by_year_histogram(
         {a.name: a.criterion() for a in analyses},
         strict,
     )
-    area = pixel_area_ha(grid, F.col("key_row"))
-    scaled = counts.select(*BY, "bucket", *[(F.col(n) * area).alias(n) for n in names])
+    scaled = with_pixel_area(counts, grid).select(*BY, "bucket", *[(F.col(n) * F.col("area")).alias(n) for n in names])
     long = scaled.groupBy(*BY, "bucket").agg(*[F.sum(n).alias(n) for n in names])
     return _every_location(long, locations, names)
 

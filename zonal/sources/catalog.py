@@ -74,5 +74,7 @@ def existing_tiles(uris: DataFrame, inventory: DataFrame) -> DataFrame:
     if len(lengths) > MAX_LENGTHS:
         raise ValueError(f"more than {MAX_LENGTHS} different URI lengths; list the layers in smaller sets")
     cuts: list[Column] = [F.when(F.length("object") >= n, F.substring("object", 1, n)) for n in lengths]
-    heads = inventory.select(F.explode(F.array_compact(F.array(*cuts))).alias("uri")).distinct() if cuts else None
-    return uris.limit(0) if heads is None else uris.join(heads, "uri", "left_semi")
+    if not cuts:
+        return uris
+    heads = inventory.select(F.explode(F.array(*cuts)).alias("uri")).where(F.col("uri").isNotNull())
+    return uris.join(heads, "uri", "left_semi")

@@ -29,15 +29,16 @@ def read_geojson(
     A FeatureCollection is one JSON document and so one task per file; give many files,
     or one feature per line (`one_feature_per_line`), which Spark splits at any size.
     """
-    feature = f"struct<type:string,geometry:struct<type:string,coordinates:string>,properties:struct<{_fields(properties)}>>"
+    shape_type = "struct<type:string,coordinates:string>"
+    property_type = f"struct<{_fields(properties)}>"
+    reader = spark.read.option("mode", "FAILFAST")
     if one_feature_per_line:
-        schema = feature.removeprefix("struct<").removesuffix(">")
-        features = spark.read.schema(schema).option("mode", "FAILFAST").json(paths).select(
-            F.struct("type", "geometry", "properties").alias("feature")
-        )
+        lines = reader.schema(f"type string, geometry {shape_type}, properties {property_type}").json(paths)
+        features = lines.select(F.struct("geometry", "properties").alias("feature"))
     else:
-        documents = spark.read.schema(f"features array<{feature}>").option("multiLine", True)
-        features = documents.option("mode", "FAILFAST").json(paths).select(F.explode("features").alias("feature"))
+        schema = f"features array<struct<type:string,geometry:{shape_type},properties:{property_type}>>"
+        documents = reader.schema(schema).option("multiLine", True).json(paths)
+        features = documents.select(F.explode("features").alias("feature"))
     shape, raw = F.col("feature.geometry.type"), F.col("feature.geometry.coordinates")
     polygon = "array<array<array<double>>>"
     known = shape.isin("Polygon", "MultiPolygon")

@@ -23,8 +23,8 @@ def write_tiles(tiles: DataFrame, path: str, grid: Grid, mode: str = "errorifexi
     """Write tiles partitioned by layer and file, sorted by key inside each part, so that
     a job over few places opens few files and skips row groups by key."""
     placed = tiles.select(
-        *KEY,
-        "cells",
+        *[F.col(k).cast("int").alias(k) for k in KEY],
+        F.col("cells").cast("array<int>").alias("cells"),
         "layer",
         grid.file_of_key(F.col("key_row")).alias("file_row"),
         grid.file_of_key(F.col("key_col")).alias("file_col"),

@@ -1,14 +1,15 @@
 from __future__ import annotations
 
+import json
 import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from tests.shapes import TINY, frame, pixels, star
-from zonal import Analysis, Layers, loss_by_year_histogram, loss_by_year_pixelwise, standard_analyses
-from zonal.operators.layers import covered_values
+from tests.shapes import TINY, frame, pixels, star, to_degrees
+from zonal import Analysis, Layers, coverage_cells, loss_by_year_histogram, loss_by_year_pixelwise, run_report, standard_analyses
+from zonal.operators.layers import covered_values, locations_with_tiles, spatial_join
 from zonal.plans import analyses as plans
 from zonal.plans import jobs
 from zonal.sources.tiles import read_tiles, write_tiles
@@ -115,6 +116,42 @@ def test_stored_tiles_give_the_same_and_prune_files(world, spark, tmp_path):
     assert scans and all("file_row" in s.split("PartitionFilters")[1].split("PushedFilters")[0] for s in scans)
 
 
+def test_report_from_geojson_to_json(world, spark, tmp_path):
+    rows, locations, tiles = world
+    write_tiles(tiles, str(tmp_path / "t"), TINY)
+    wanted = [r for r in rows if r[0] == 0][:4]
+    features = [
+        {
+            "properties": {"list_id": a, "location_id": b},
+            "geometry": {"type": "Polygon", "coordinates": [to_degrees(ring + ring[:1]) for ring in rings]},
+        }
+        for a, b, rings in wanted
+    ]
+    (tmp_path / "l.json").write_text(json.dumps({"features": features}))
+    want = as_dict(loss_by_year_histogram(frame(spark, wanted), tiles, TINY))
+    for method in ("histogram", "pixelwise"):
+        out = str(tmp_path / method)
+        run_report(
+            spark, str(tmp_path / "l.json"), str(tmp_path / "t"), out, method,
+            "list_id bigint, location_id bigint", files=1, grid=TINY,
+        )
+        lines = [json.loads(x) for p in (tmp_path / method).glob("part-*.json") for x in p.read_text().splitlines()]
+        got = {(x["list_id"], x["location_id"]): {n: {int(k): v for k, v in x[n].items()} for n in NAMES} for x in lines}
+        close(got, want)
+
+
+def test_joins_by_key_are_spread_too(world):
+    _, locations, tiles = world
+    cells = coverage_cells(locations, TINY)
+    columns = ["list_id", "location_id", "key_col", "key_row"]
+    for make in (
+        lambda n: locations_with_tiles(cells, tiles, L.peat, rows_per_task=n).select(*columns),
+        lambda n: spatial_join(locations, tiles, TINY, rows_per_task=n).select(*columns, "layer"),
+    ):
+        plain, spread = sorted(map(tuple, make(10**9).collect())), sorted(map(tuple, make(2).collect()))
+        assert plain and plain == spread
+
+
 def test_plan_keeps_pixels_in_generated_code(world):
     _, locations, tiles = world
     df = loss_by_year_histogram(locations, tiles, TINY)

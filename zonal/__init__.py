@@ -7,7 +7,7 @@ key, and every statistic is a plain grouped sum over the covered cells.
 from zonal.functions.grid import Grid
 from zonal.operators.coverage import coverage_cells, coverage_runs, coverage_spans, segment_cover
 from zonal.plans.analyses import Analysis, Layers, extended_analyses, standard_analyses
-from zonal.plans.jobs import loss_by_year_histogram, loss_by_year_pixelwise
+from zonal.plans.jobs import loss_by_year_histogram, loss_by_year_pixelwise, run_report
 
 __all__ = [
     "Analysis",
@@ -19,6 +19,7 @@ __all__ = [
     "extended_analyses",
     "loss_by_year_histogram",
     "loss_by_year_pixelwise",
+    "run_report",
     "segment_cover",
     "standard_analyses",
 ]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonal.functions.grid import KEY, Grid
-from zonal.operators.staging import add_salt, hot_groups, stage
+from zonal.operators.staging import add_salt, group_sizes, salts_of, stage
 
 LOC = ("list_id", "location_id")
 RULES = ("center", "all_touched")
@@ -242,7 +242,8 @@ def cell_map(cells: DataFrame, grid: Grid, value: str = "runs", max_entries: int
         raise ValueError("value must be 'runs' or 'mask'")
     cells = stage(cells)
     keys = ["list_id", *KEY]
-    hot = stage(hot_groups(cells, keys, max_entries))
+    sizes = group_sizes(cells, keys)
+    hot = salts_of(sizes, keys, max_entries)
     parts = add_salt(cells, hot, hot.count(), keys, ["location_id"])
     held = dense_mask(F.col("runs"), grid.cells) if value == "mask" else F.col("runs")
     entries = F.collect_list(F.struct("location_id", held.alias("held")))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from zonal.functions.grid import KEY, Grid
 from zonal.operators.coverage import LOC, coverage_cells, segment_cover
-from zonal.operators.staging import BROADCAST_ROWS, add_salt, bounded_broadcast, replicate_for_salt, stage
+from zonal.operators.staging import BROADCAST_ROWS, bounded_broadcast, group_sizes, spread_join, stage
 
 # Coverage rows of one segment that one task may work through before the segment is split.
 ROWS_PER_TASK = 256
@@ -66,18 +66,29 @@ def explode_tiles(df: DataFrame, layers: list[str], grid: Grid) -> DataFrame:
 def area_tiles(tiles: DataFrame, locations: DataFrame, grid: Grid, aoi_id: int = -1) -> DataFrame:
     """Tiles of the segments touched by the area-of-interest locations."""
     area = locations.where(F.col("location_id") == aoi_id)
-    keys = segment_cover(area, grid).select(*KEY)
+    keys = segment_cover(area, grid).select(*KEY).distinct()
     return tiles.join(keys, list(KEY), "left_semi")
 
 
-def locations_with_tiles(cells: DataFrame, tiles: DataFrame, layer: str) -> DataFrame:
+def locations_with_tiles(
+    cells: DataFrame, tiles: DataFrame, layer: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Coverage rows with the tile of a layer, without the ones whose tile is missing."""
-    return cells.join(layer_tiles(tiles, layer).hint("merge"), list(KEY), "left").where(F.col(layer).isNotNull())
+    return _meet(cells, layer_tiles(tiles, layer).where(F.col(layer).isNotNull()), rows_per_task)
 
 
-def spatial_join(locations: DataFrame, tiles: DataFrame, grid: Grid) -> DataFrame:
+def spatial_join(
+    locations: DataFrame, tiles: DataFrame, grid: Grid, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Location x tile pairs that intersect, as an equi-join on touched segments."""
-    return segment_cover(locations, grid).join(tiles.hint("merge"), list(KEY))
+    return _meet(segment_cover(locations, grid), tiles, rows_per_task)
+
+
+def _meet(cells: DataFrame, tiles: DataFrame, rows_per_task: int) -> DataFrame:
+    cells = stage(cells)
+    sizes = group_sizes(cells, list(KEY))
+    n_hot = sizes.where(F.col("n") > rows_per_task).count()
+    return spread_join(cells, tiles, sizes, n_hot, list(KEY), list(LOC), rows_per_task)
 
 
 def pruned_tiles(tiles: DataFrame, keys: DataFrame, n_keys: int, grid: Grid, bounds: dict[str, int]) -> DataFrame:
@@ -115,7 +126,7 @@ def covered_values(
     `carry` adds columns computed once per coverage row instead of once per pixel.
     """
     cells = stage(coverage_cells(locations, grid, rule))
-    keys = stage(cells.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")))
+    keys = group_sizes(cells, list(KEY))
     facts = keys.agg(
         F.count(F.lit(1)).alias("keys"),
         F.count_if(F.col("n") > rows_per_task).alias("hot"),
@@ -130,14 +141,6 @@ def covered_values(
     if required is not None:
         stack = stack.where(F.col(required).isNotNull())
 
-    hot = keys.where(F.col("n") > rows_per_task).select(
-        *KEY, F.ceil(F.col("n") / F.lit(rows_per_task)).cast("int").alias("salts")
-    )
     cells = cells.select(*LOC, *KEY, "runs", *[column.alias(name) for name, column in (carry or {}).items()])
-    on = list(KEY)
-    if facts["hot"]:
-        cells = add_salt(cells, hot, facts["hot"], on, list(LOC))
-        stack = replicate_for_salt(stack, hot, facts["hot"], on)
-        on = [*on, "salt"]
-    met = cells.join(stack.hint("merge"), on, "inner")
+    met = spread_join(cells, stack, keys, facts["hot"], list(KEY), list(LOC), rows_per_task)
     return explode_runs(met, layers, [*LOC, *KEY, *(carry or {})])

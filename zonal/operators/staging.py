@@ -14,9 +14,12 @@ BROADCAST_ROWS = 1_000_000
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """The shared folder named by `spark.checkpoint.dir`; a local one only if none is set."""
+    """The shared folder named by `spark.checkpoint.dir`. Only a local session without one
+    gets a temporary folder: on a cluster executors could not read each other's files."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         path = tempfile.mkdtemp(prefix="zonal-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
@@ -35,14 +38,15 @@ def bounded_broadcast(df: DataFrame, rows: int | None, limit: int = BROADCAST_RO
     return F.broadcast(df) if rows is not None and rows <= limit else df
 
 
-def hot_groups(df: DataFrame, keys: list[str], rows_per_task: int) -> DataFrame:
+def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Written table of rows per key; partial counts run before the shuffle."""
+    return stage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+
+
+def salts_of(sizes: DataFrame, keys: list[str], rows_per_task: int) -> DataFrame:
     """Keys holding more than `rows_per_task` rows, with the number of salts each needs."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > rows_per_task)
-        .select(*keys, F.ceil(F.col("n") / F.lit(rows_per_task)).cast("int").alias("salts"))
-    )
+    salts = F.ceil(F.col("n") / F.lit(rows_per_task)).cast("int")
+    return sizes.where(F.col("n") > rows_per_task).select(*keys, salts.alias("salts"))
 
 
 def add_salt(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], spread_by: list[str]) -> DataFrame:
@@ -56,8 +60,26 @@ def add_salt(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], spread_
 
 def replicate_for_salt(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str]) -> DataFrame:
     """The other side of a salted join: one copy per salt for hot keys, one otherwise."""
-    if n_hot == 0:
-        return df.withColumn("salt", F.lit(0))
     copies = df.join(bounded_broadcast(hot, n_hot), keys, "left")
     last = F.coalesce(F.col("salts"), F.lit(1)) - F.lit(1)
     return copies.withColumn("salt", F.explode(F.sequence(F.lit(0), last))).drop("salts")
+
+
+def spread_join(
+    rows: DataFrame,
+    once: DataFrame,
+    sizes: DataFrame,
+    n_hot: int,
+    keys: list[str],
+    spread_by: list[str],
+    rows_per_task: int,
+) -> DataFrame:
+    """Inner join of `rows` to a side with few rows per key. Keys with more than
+    `rows_per_task` rows are dealt out to several tasks, each with its own copy of the
+    other side; without such keys it is an ordinary join on the keys."""
+    if n_hot:
+        hot = salts_of(sizes, keys, rows_per_task)
+        rows = add_salt(rows, hot, n_hot, keys, spread_by)
+        once = replicate_for_salt(once, hot, n_hot, keys)
+        return rows.join(once.hint("merge"), [*keys, "salt"]).drop("salt")
+    return rows.join(once.hint("merge"), keys)

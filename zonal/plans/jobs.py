@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonal.functions.geodesy import pixel_area_ha
@@ -12,6 +15,9 @@ from zonal.operators.coverage import LOC
 from zonal.operators.layers import ROWS_PER_TASK, covered_values
 from zonal.operators.staging import bounded_broadcast
 from zonal.plans.analyses import Analysis, Layers, needed_layers, standard_analyses
+from zonal.sources.locations import read_geojson
+from zonal.sources.results import write_results
+from zonal.sources.tiles import read_tiles
 
 BY = list(LOC)
 
@@ -38,6 +44,15 @@ def scalar_totals(pixels: DataFrame, analyses: list[Analysis], by: list[str] = B
     return named.groupBy(*by).agg(*[F.coalesce(F.sum(a.name), F.lit(0.0)).alias(a.name) for a in analyses])
 
 
+def _contributing(analyses: list[Analysis], loss: str, strict: bool) -> Column:
+    """Pixels that add to some analysis. Loss is rare, so most pixels stop here and never
+    reach the aggregation; `strict` also keeps codes it has to complain about."""
+    wanted = reduce(or_, [a.criterion() for a in analyses])
+    if strict:
+        wanted = wanted | ~F.col(loss).between(0, BUCKETS - 1)
+    return F.col(loss).isNotNull() & wanted
+
+
 def _check_areas_of_interest(locations: DataFrame) -> None:
     """Fail if some list has no area-of-interest row (location_id = -1)."""
     per_list = locations.groupBy("list_id").agg(F.max((F.col("location_id") == -1).cast("int")).alias("has"))
@@ -68,6 +83,7 @@ def loss_by_year_pixelwise(
         required=layers.loss,
         carry={"area": pixel_area_ha(grid, F.col("key_row"))},
     )
+    pixels = pixels.where(_contributing(analyses, layers.loss, strict))
     areas = {a.name: a.content(F.col("area")) for a in analyses}
     long = sums_by_bucket(pixels, BY, year_bucket(F.col(layers.loss), strict), areas)
     return _every_location(long, locations, [a.name for a in analyses])
@@ -100,7 +116,7 @@ def loss_by_year_histogram(
         rows_per_task=rows_per_task,
     )
     counts = zonal_histogram(
-        pixels.where(F.col(layers.loss).isNotNull()),
+        pixels.where(_contributing(analyses, layers.loss, strict)),
         [*BY, "key_row"],
         F.col(layers.loss),
         {a.name: a.criterion() for a in analyses},
@@ -119,11 +135,30 @@ def _every_location(long: DataFrame, locations: DataFrame, names: list[str]) ->
     return dense_maps(long.unionByName(nothing), BY, names)
 
 
+def run_report(
+    spark: SparkSession,
+    location_paths: str | list[str],
+    tiles_path: str,
+    out_path: str,
+    method: str = "histogram",
+    properties: str = "list_id string, location_id bigint",
+    one_feature_per_line: bool = False,
+    files: int | None = None,
+    **options,
+) -> None:
+    """The whole report: GeoJSON locations and a tile table in, JSON results out."""
+    jobs = {"histogram": loss_by_year_histogram, "pixelwise": loss_by_year_pixelwise}
+    locations = read_geojson(spark, location_paths, properties, one_feature_per_line)
+    totals = jobs[method](locations, read_tiles(spark, tiles_path), **options)
+    write_results(totals, out_path, files=files)
+
+
 __all__ = [
     "BUCKETS",
     "loss_by_year_histogram",
     "loss_by_year_pixelwise",
     "pixelwise_totals",
+    "run_report",
     "scalar_totals",
     "with_pixel_area",
 ]

@@ -34,6 +34,15 @@ def sums_by_bucket(df: DataFrame, by: list[str], bucket: Column, measures: Mappi
     return named.groupBy(*by, "bucket").agg(*[F.sum(name).alias(name) for name in measures])
 
 
+def _slots(expression: str) -> str:
+    """The SQL of an array holding an expression for every slot number."""
+    return "array(" + ", ".join(expression.format(slot=i) for i in range(BUCKETS)) + ")"
+
+
+def _slot_map(expression: str) -> Column:
+    return F.expr(f"map_from_arrays(sequence(0, {BUCKETS - 1}), {_slots(expression)})")
+
+
 def dense_maps(long: DataFrame, by: list[str], names: list[str]) -> DataFrame:
     """Long form to one MAP<INT, DOUBLE> per measure with every slot present."""
     held = long.groupBy(*by).agg(
@@ -44,8 +53,7 @@ def dense_maps(long: DataFrame, by: list[str], names: list[str]) -> DataFrame:
 
     def dense(name: str) -> Column:
         # written out per slot: a lambda over the slots would leave generated code
-        values = [F.coalesce(F.try_element_at("held", F.lit(i))[name], F.lit(0.0)) for i in range(BUCKETS)]
-        return F.map_from_arrays(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), F.array(*values)).alias(name)
+        return _slot_map(f"coalesce(try_element_at(held, {{slot}}).`{name}`, 0e0)").alias(name)
 
     return held.select(*by, *[dense(name) for name in names])
 
@@ -61,14 +69,10 @@ def loss_year_agg(
 def histogram_agg(df: DataFrame, by: list[str], histograms: list[str]) -> DataFrame:
     """Slot-wise sum of ARRAY<DOUBLE> histograms as dense maps; missing slots add 0."""
     slot_sums = [
-        F.coalesce(F.sum(F.get(h, F.lit(i))), F.lit(0.0)).alias(f"{h}_{i}") for h in histograms for i in range(BUCKETS)
+        F.expr(f"coalesce(sum(get(`{h}`, {i})), 0e0)").alias(f"{h}_{i}") for h in histograms for i in range(BUCKETS)
     ]
     summed = df.groupBy(*by).agg(*slot_sums)
-    slots = F.sequence(F.lit(0), F.lit(BUCKETS - 1))
-    return summed.select(
-        *by,
-        *[F.map_from_arrays(slots, F.array(*[f"{h}_{i}" for i in range(BUCKETS)])).alias(h) for h in histograms],
-    )
+    return summed.select(*by, *[_slot_map(f"`{h}_{{slot}}`").alias(h) for h in histograms])
 
 
 def scale_histogram(histogram: Column, factor: Column) -> Column:
@@ -94,9 +98,9 @@ def tile_histograms(
     amount = F.lit(1.0) if weight is None else F.col(weight).cast("double")
     cell_rows = explode_tiles(tiles.select(*by, *layers), layers, grid)
     numbered = cell_rows.select(*by, year_bucket(F.col(value)).alias("bucket"), amount.alias("amount"))
-    slots = [F.sum(F.when(F.col("bucket") == i, F.col("amount"))).alias(f"slot_{i}") for i in range(BUCKETS)]
-    filled = [F.coalesce(f"slot_{i}", F.lit(0.0)) for i in range(BUCKETS)]
-    return numbered.groupBy(*by).agg(*slots).select(*by, F.array(*filled).alias(name))
+    slots = [F.expr(f"sum(amount) filter (where bucket = {i})").alias(f"slot_{i}") for i in range(BUCKETS)]
+    filled = F.expr(_slots("coalesce(slot_{slot}, 0e0)"))
+    return numbered.groupBy(*by).agg(*slots).select(*by, filled.alias(name))
 
 
 def map_rows(df: DataFrame, by: list[str], names: list[str]) -> DataFrame:

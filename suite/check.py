@@ -21,6 +21,7 @@ def session(cpus: str = "8") -> SparkSession:
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")

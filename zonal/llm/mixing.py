@@ -18,7 +18,7 @@ from zonal.llm.common import WORD, draw, free_name, look_up, with_row_id
 from zonal.operators.staging import stage
 
 # Documents per slice of a source's running sum.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
 
 
 def word_count(text: Column) -> Column:
@@ -123,7 +123,7 @@ def plan_mix(
     u = draw(seed, "doc_id", "size")
     rows = stage(look_up(sized, sources.select("key", "source_size", "target", "slices", "n"), "key", total))
     rows = rows.withColumn("u", u).withColumn("slice", F.floor(F.col("u") * F.col("slices")).cast("int"))
-    # before a slice: a running sum over the slices of its source, one row for SLICE_ROWS documents
+    # before a slice: a running sum over the slices of its source, one row per SLICE_ROWS documents
     per_slice = rows.groupBy("key", "slice").agg(F.sum("size").alias("slice_size"))
     running = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     per_slice = per_slice.select("key", "slice", F.coalesce(F.sum("slice_size").over(running), F.lit(0)).alias("base"))

@@ -64,6 +64,24 @@ def spread_join(
     return dealt.join(copies, [key, "salt"]).drop("salt")
 
 
+def sift(table: DataFrame, key: str, wanted: DataFrame, total: int) -> DataFrame:
+    """Rows of `table` whose key is, or by a chance of 1 in 16 seems to be, among the `total` keys
+    of `wanted`: tested in place against a bitmap of hashed keys before anything is shuffled. The
+    bitmap has at most 16 MB, whatever the number of keys; it lets more through when it fills up,
+    and never drops a key that is wanted."""
+    bits = 1 << min(27, max(15, (16 * total).bit_length()))
+    slot = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+    slots = wanted.select(slot.alias("slot"))
+    maps = slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap")
+    )
+    placed = table.withColumn("bucket", F.bitmap_bucket_number(slot)).withColumn("bit", F.bitmap_bit_position(slot).cast("int"))
+    met = placed.join(F.broadcast(maps), "bucket")
+    byte = F.expr("cast(conv(hex(substring(bitmap, bit div 8 + 1, 1)), 16, 10) as int)")
+    hit = F.expr("1 << (bit % 8)").cast("int")
+    return met.where(byte.bitwiseAND(hit) != 0).select(*table.columns)
+
+
 def in_order(df: DataFrame, *order) -> DataFrame:
     """Written copy of `df` in global order with `position`, gapless from 0. Rows of one task
     are numbered as they are written; what lies before them is a sum over tasks."""

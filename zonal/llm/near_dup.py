@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonal.llm.common import look_up, pieces, ship, spread_join
+from zonal.llm.common import look_up, pieces, ship, sift, spread_join
 from zonal.llm.words import mixed
 from zonal.operators.staging import stage
 
@@ -58,6 +58,19 @@ def shingles(text: bytes):
     return np.unique(mixed(rolled, 9))
 
 
+def packed(hashes) -> bytes:
+    """A set for the confirmation of links: the upper 40 bits of each hash, in order."""
+    kept = np.unique(hashes >> np.uint64(24)).astype("<u8")
+    return kept.view("u1").reshape(-1, 8)[:, :5].tobytes()
+
+
+def unpacked(data: bytes):
+    """The numbers of a packed set."""
+    wide = np.zeros((len(data) // 5, 8), dtype="u1")
+    wide[:, :5] = np.frombuffer(data, dtype="u1").reshape(-1, 5)
+    return wide.view("<u8").ravel()
+
+
 def signatures(elements, doc, docs: int):
     """SuperMinHash of several sets at once: `elements` with the number of their set. All sets go
     up the ranks together; a set drops out when all its slots have an offer."""
@@ -100,7 +113,6 @@ def _sketches(batch, at: int, text: int):
         key = np.broadcast_to(np.arange(BANDS, dtype="u8"), (len(sets), BANDS)).copy()
         for k in range(SLOTS // BANDS):
             key = mixed(key * _ORDER[0] + rows[:, :, k], 50)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(at).slice(first, last - first),
@@ -108,7 +120,7 @@ def _sketches(batch, at: int, text: int):
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                 pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype="i4") * BANDS, pa.array(key.view("i8").ravel())),
                 pa.array([p.tobytes() for p in (slots & np.uint64(255)).astype("u1")], pa.binary()),
-                pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets).view("i8"))),
+                pa.array([packed(s) for s in sets], pa.binary()),
             ],
             ["doc_id", "n_shingles", "set_key", "bands", "prints", "shingles"],
         )
@@ -124,24 +136,39 @@ def sketch(docs: DataFrame) -> DataFrame:
             yield from _sketches(batch, 0, 1)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, prints binary, shingles array<bigint>"
+        run, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, prints binary, shingles binary"
     )
     return stage(rows.withColumn("row_id", F.monotonically_increasing_id()))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b, more columns) that hold PERCENT on the full sets (row, shingles)."""
+    """Pairs (a, b, more columns) that hold PERCENT on the full sets (row, shingles). Only sets
+    that some pair asks for are moved."""
     pairs = stage(pairs)
     total = pairs.count()
     more = [c for c in pairs.columns if c not in ("a", "b")]
-    one = sets.select(F.col("row").alias("a"), F.col("shingles").alias("set_a"))
-    other = sets.select(F.col("row").alias("b"), F.col("shingles").alias("set_b"))
-    both = spread_join(pairs, one, "a", "b", total)
-    both = spread_join(both, other, "b", "a", total, counted=pairs)
-    n, m = F.size("set_a"), F.size("set_b")
-    sized = both.where(100 * F.least(n, m) >= PERCENT * F.greatest(n, m))
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    return stage(sized.where(100 * common >= PERCENT * (n + m - common)).select("a", "b", *more))
+    both = pairs
+    for end, other in (("a", "b"), ("b", "a")):
+        wanted = sift(sets.select(F.col("row").alias(end), F.col("shingles").alias(f"set_{end}")), end, pairs, total)
+        both = spread_join(both, wanted, end, other, total, counted=pairs)
+    n, m = F.length("set_a"), F.length("set_b")
+    sized = both.where(100 * F.least(n, m) >= PERCENT * F.greatest(n, m)).select("set_a", "set_b", "a", "b", *more)
+
+    def check(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            sets_of = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            linked = [_linked(unpacked(x), unpacked(y)) for x, y in sets_of]
+            rest = pa.RecordBatch.from_arrays(batch.columns[2:], batch.schema.names[2:])
+            yield rest.filter(pa.array(linked, pa.bool_()))
+
+    return stage(sized.mapInArrow(check, pairs.select("a", "b", *more).schema))
+
+
+def _linked(x, y) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= PERCENT * (len(x) + len(y) - common)
 
 
 def _forest(batches):

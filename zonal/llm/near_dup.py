@@ -8,12 +8,15 @@ variance; and offers of rank j only matter while some slot has none below, so it
 Equal sets are one class, of which only one member goes on. Slots are cut into bands; sets that
 agree on a band are a bucket. A bucket of n sets offers not n * n pairs but each set with at most
 four pivots; links are confirmed on the full sets and grouped by union-find. Buckets that still
-hold several groups are then compared block against block, across groups only. A link is never
-decided by a signature: that only says which pairs are worth confirming.
+hold several groups are then compared block against block, across groups only, and of those
+links one for a set and a group is kept. A signature never decides on a link: it only says
+which sets are worth confirming.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +32,8 @@ PERCENT = 75
 SLOTS = 128
 BANDS = 32
 
-# Pairs in one bucket but in different groups are confirmed when this part of their slots agrees:
-# five standard deviations below 0.75 at 128 slots.
+# Sets of one bucket are confirmed when this part of their slots agrees: five standard deviations
+# below 0.75 at 128 slots.
 LIKELY = 0.55
 
 # Sets of one bucket that a block holds.
@@ -141,32 +144,37 @@ def sketch(docs: DataFrame) -> DataFrame:
     return stage(rows.withColumn("row_id", F.monotonically_increasing_id()))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b, more columns) that hold PERCENT on the full sets (row, shingles). Only sets
-    that some pair asks for are moved."""
+def tested(pairs: DataFrame, values: DataFrame, test: Callable[[bytes, bytes], bool]) -> DataFrame:
+    """Pairs (a, b) whose binary values (row, value) pass a test, written. Only values that some
+    pair asks for are moved."""
     pairs = stage(pairs)
     total = pairs.count()
-    more = [c for c in pairs.columns if c not in ("a", "b")]
     both = pairs
     for end, other in (("a", "b"), ("b", "a")):
-        wanted = sift(sets.select(F.col("row").alias(end), F.col("shingles").alias(f"set_{end}")), end, pairs, total)
+        wanted = sift(values.select(F.col("row").alias(end), F.col("value").alias(f"of_{end}")), end, pairs, total)
         both = spread_join(both, wanted, end, other, total, counted=pairs)
-    n, m = F.length("set_a"), F.length("set_b")
-    sized = both.where(100 * F.least(n, m) >= PERCENT * F.greatest(n, m)).select("set_a", "set_b", "a", "b", *more)
 
     def check(batches):
         import pyarrow as pa
 
         for batch in batches:
-            sets_of = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            linked = [_linked(unpacked(x), unpacked(y)) for x, y in sets_of]
-            rest = pa.RecordBatch.from_arrays(batch.columns[2:], batch.schema.names[2:])
-            yield rest.filter(pa.array(linked, pa.bool_()))
+            passed = [test(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(passed, pa.bool_()))
+
+    return stage(both.select("a", "b", "of_a", "of_b").mapInArrow(check, "a bigint, b bigint"))
 
-    return stage(sized.mapInArrow(check, pairs.select("a", "b", *more).schema))
 
+def alike(x: bytes, y: bytes) -> bool:
+    """Whether enough slots agree for a confirmation to be worth while."""
+    same = np.frombuffer(x, dtype="u1") == np.frombuffer(y, dtype="u1")
+    return int(same.sum()) >= LIKELY * SLOTS
 
-def _linked(x, y) -> bool:
+
+def linked(x: bytes, y: bytes) -> bool:
+    """Whether two packed sets are linked."""
+    if 100 * min(len(x), len(y)) < PERCENT * max(len(x), len(y)):
+        return False
+    x, y = unpacked(x), unpacked(y)
     common = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * common >= PERCENT * (len(x) + len(y) - common)
 
@@ -231,10 +239,8 @@ def components(edges: DataFrame) -> DataFrame:
     return stage(groups)
 
 
-def _across(batches):
-    """Likely pairs of different groups inside one block pair of a bucket. Rows come sorted by
-    (bucket, i, j); all but the members of the largest group are compared to the whole block pair,
-    which covers every pair of two groups."""
+def _block_pairs(batches):
+    """Batches of rows sorted by (band, i, j) to one batch per block pair."""
     import pyarrow as pa
 
     rest = None
@@ -243,31 +249,59 @@ def _across(batches):
             rest = batch if rest is None else pa.concat_batches([rest, batch])
         if rest is None or not rest.num_rows:
             continue
-        bucket, i, j = (rest.column(k).to_numpy() for k in range(3))
-        cuts = np.flatnonzero((bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-        edges = [0, *cuts.tolist()] + ([] if batch is not None else [rest.num_rows])
-        found: list[list] = [[], [], [], []]
-        row, group, block = (rest.column(k).to_numpy() for k in range(3, 6))
-        prints = np.frombuffer(b"".join(rest.column(6).to_pylist()), dtype="u1").reshape(-1, SLOTS)
+        names = [rest.column(k).to_numpy() for k in range(3)]
+        turns = np.flatnonzero(np.any([x[1:] != x[:-1] for x in names], axis=0)) + 1
+        edges = [0, *turns.tolist()] + ([] if batch is not None else [rest.num_rows])
         for first, last in zip(edges[:-1], edges[1:]):
-            own, mine, blocks, bits = row[first:last], group[first:last], block[first:last], prints[first:last]
-            names, counts = np.unique(mine, return_counts=True)
-            if len(names) < 2:
-                continue
-            crossed = i[first] != j[first]
-            for k in np.flatnonzero(mine != names[counts.argmax()]):
-                likely = (bits == bits[k]).sum(axis=1) >= LIKELY * SLOTS
-                likely &= mine != mine[k]
-                if crossed:
-                    likely &= blocks != blocks[k]
-                for other in np.flatnonzero(likely):
-                    a, b = (k, other) if own[k] < own[other] else (other, k)
-                    for column, value in zip(found, (own[a], own[b], mine[a], mine[b])):
-                        column.append(int(value))
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["a", "b", "group_a", "group_b"])
+            yield rest.slice(first, last - first)
         rest = rest.slice(edges[-1])
 
 
+def _minor(group, block, crossed):
+    """Members outside the largest group, each with whom it is to be compared to: members of
+    another group, in the other block if there are two. That covers every pair of two groups."""
+    names, counts = np.unique(group, return_counts=True)
+    for k in np.flatnonzero(group != names[counts.argmax()]):
+        yield k, (group != group[k]) & ((block != block[k]) | (not crossed))
+
+
+def _likely(batches):
+    """Members of a block pair that look linked to a member of another group."""
+    import pyarrow as pa
+
+    for rows in _block_pairs(batches):
+        i, j, group, block = (rows.column(k).to_numpy() for k in (1, 2, 4, 5))
+        prints = np.frombuffer(b"".join(rows.column(6).to_pylist()), dtype="u1").reshape(-1, SLOTS)
+        found = np.zeros(len(group), dtype=bool)
+        for k, others in _minor(group, block, i[0] != j[0]):
+            others &= (prints == prints[k]).sum(axis=1) >= LIKELY * SLOTS
+            found[k] |= others.any()
+            found |= others
+        yield pa.RecordBatch.from_arrays(rows.columns[:6], rows.schema.names[:6]).filter(pa.array(found))
+
+
+def _links(batches):
+    """Links across groups in a block pair, at most one for a member and a group. Shared shingles
+    are counted through an inverted index of the block pair."""
+    import pyarrow as pa
+
+    for rows in _block_pairs(batches):
+        i, j, group, block = (rows.column(k).to_numpy() for k in (1, 2, 4, 5))
+        sets = [unpacked(x) for x in rows.column(6).to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        member, flat = np.repeat(np.arange(len(sets)), sizes)[order], flat[order]
+        ends = []
+        for k, others in _minor(group, block, i[0] != j[0]):
+            first, last = np.searchsorted(flat, sets[k], "left"), np.searchsorted(flat, sets[k], "right")
+            held = np.concatenate([member[a:b] for a, b in zip(first, last)])
+            common = np.bincount(held, minlength=len(sets))
+            others &= 100 * common >= PERCENT * (sizes + sizes[k] - common)
+            ends += [(int(group[k]), int(g)) for g in np.unique(group[others])]
+        yield pa.RecordBatch.from_arrays([pa.array([e[x] for e in ends], pa.int64()) for x in (0, 1)], ["a", "b"])
+
+
 def _ended(batches):
     yield from batches
     yield None
@@ -294,8 +328,9 @@ def group(sketches: DataFrame) -> DataFrame:
     held = stage(look_up(entries, pivots, "band", total).where("pivots is not null"))
     stars = held.select("row", F.explode("pivots").alias("pivot")).where("row <> pivot")
     stars = stars.select(F.least("row", "pivot").alias("a"), F.greatest("row", "pivot").alias("b")).distinct()
-    sets = sketches.select(F.col("row_id").alias("row"), "shingles")
-    known = components(confirmed(stars, sets))
+    sets = sketches.select(F.col("row_id").alias("row"), F.col("shingles").alias("value"))
+    prints = sketches.select(F.col("row_id").alias("row"), F.col("prints").alias("value"))
+    known = components(tested(tested(stars, prints, alike), sets, linked))
 
     # what stars leave open: buckets with more than one group, among sets that are no pivots
     large = held.where("members > 3").select("band", "row", "members")
@@ -306,17 +341,22 @@ def group(sketches: DataFrame) -> DataFrame:
     open_rows = look_up(large, mixed_up, "band", large.count()).where("open")
     blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
     open_rows = open_rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
-    prints = sketches.select(F.col("row_id").alias("row"), "prints")
-    open_rows = stage(open_rows.drop("open", "members"))
-    open_rows = spread_join(open_rows, prints, "row", "band", open_rows.count())
+    open_rows = stage(open_rows.select("band", "row", "group", "blocks", "block"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = open_rows.withColumn("other", other).select(
-        "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "row", "group", "block", "prints"
-    )
-    dealt = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    likely = dealt.mapInArrow(_across, "a bigint, b bigint, group_a bigint, group_b bigint").distinct()
-    links = confirmed(likely, sets)
-    joined = components(links.select(F.col("group_a").alias("a"), F.col("group_b").alias("b")).distinct())
+    columns = ["band", "i", "j", "row", "group", "block"]
+
+    def together(rows: DataFrame, values: DataFrame) -> DataFrame:
+        total = rows.count()
+        found = spread_join(rows, sift(values, "row", rows, total), "row", "band", total)
+        if "blocks" in rows.columns:
+            pairs = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+            found = found.withColumn("other", other).select("band", *pairs, *columns[3:], "value")
+        return found.select(*columns, "value").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+
+    schema = "band bigint, i int, j int, row bigint, group bigint, block int"
+    likely = stage(together(open_rows, prints).mapInArrow(_likely, schema))
+    links = together(likely, sets).mapInArrow(_links, "a bigint, b bigint").distinct()
+    joined = components(links)
 
     named = stage(classes.join(known.withColumnRenamed("node", "row"), "row", "left").withColumn("group", F.coalesce("group", "row")))
     sizes = named.groupBy("group").agg(F.count(F.lit(1)).alias("members"))

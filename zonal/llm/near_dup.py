@@ -32,9 +32,9 @@ PERCENT = 75
 SLOTS = 128
 BANDS = 32
 
-# Sets of one bucket are confirmed when this part of their slots agrees: five standard deviations
+# Sets of one bucket are confirmed when this part of their slots agrees: four standard deviations
 # below 0.75 at 128 slots.
-LIKELY = 0.55
+LIKELY = 0.6
 
 # Sets of one bucket that a block holds.
 BLOCK = 512

@@ -11,14 +11,15 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonal.llm.common import Finished, ship, store_of
+from zonal.llm.common import Finished, pieces, ship, store_of
 
 # Distinct words a worker remembers the ids of; further ones are encoded each time they occur.
-REMEMBERED = 200_000
+REMEMBERED = 1_000_000
 
 # A space with white space or the end after it: a cut before it could move a token border.
 UNSAFE = re.compile(r" (?:\s|\Z)")
@@ -42,28 +43,52 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.by_words = by_words
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.code = "H" if self.dtype == "<u2" else "I"
         self.known: dict[str, bytes] = {}
+        self.firsts: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
         batch = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype=self.dtype).tobytes() for e in batch]
-
-    def encode(self, text: str) -> bytes:
-        if not self.by_words or UNSAFE.search(text):
-            return self.ids([text])[0]
-        words = text.split(" ")
-        words[0] = "\0" + words[0]  # the only one without a space before it
-        known = self.known
-        new = [w for w in set(words) if w not in known]
+        return [array(self.code, e.ids).tobytes() for e in batch]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(texts)
+        whole, unfinished, new, new_firsts = [], [], set(), set()
+        look, look_first = self.known.get, self.firsts.get
+        for k, text in enumerate(texts):
+            if not self.by_words or UNSAFE.search(text):
+                whole.append(k)
+                continue
+            words = text.split(" ")
+            found = list(map(look, words))
+            found[0] = look_first(words[0])
+            if None not in found:
+                out[k] = b"".join(found)
+                continue
+            gaps = [n for n, ids in enumerate(found) if ids is None]
+            if gaps[0] == 0:
+                new_firsts.add(words[0])
+            new.update([words[n] for n in gaps if n])
+            unfinished.append((k, words, found, gaps))
+        held = self._learned(self.known, new, " ")
+        held_firsts = self._learned(self.firsts, new_firsts, "")
+        for k, words, found, gaps in unfinished:
+            for n in gaps:
+                found[n] = held[words[n]] if n else held_firsts[words[0]]
+            out[k] = b"".join(found)
+        for k, ids in zip(whole, self.ids([texts[k] for k in whole]) if whole else []):
+            out[k] = ids
+        return out
+
+    def _learned(self, known: dict, new: set, before: str) -> dict:
+        """Ids of new words, remembered while there is room."""
         if not new:
-            return b"".join([known[w] for w in words])
-        held = dict(zip(new, self.ids([w[1:] if w is words[0] else " " + w for w in new])))
+            return {}
+        words = list(new)
+        held = dict(zip(words, self.ids([before + w for w in words])))
         if len(known) < REMEMBERED:
             known.update(held)
-            return b"".join([known[w] for w in words])
-        return b"".join([held[w] if w in held else known[w] for w in words])
+        return held
 
 
 def encoder(path: str, by_words: bool) -> Encoder:
@@ -111,11 +136,11 @@ def write_tokens(
             held = batch.column(0)
             nulls += held.null_count
             ids.append(held.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
-            for text in batch.column(1):
-                tokens = known.encode(text.as_py())
-                out.write(tokens)
-                out.write(end)
-                lengths.append(len(tokens) // width + 1)
+            for first, last in pieces(batch.column(1), 1 << 19):
+                for tokens in known.encode(batch.column(1).slice(first, last - first).to_pylist()):
+                    out.write(tokens)
+                    out.write(end)
+                    lengths.append(len(tokens) // width + 1)
         if out is None:
             return
         out.close()

@@ -19,6 +19,7 @@ from zonal.llm.common import ship
 
 CONTROL = re.compile(r"\\|<(?=/?turn)")
 ROLE_CONTROL = re.compile(r"[\\>]")
+ESCAPE = r"\\\g<0>"
 ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 TURN = re.compile(r"<turn ((?:[^\\>]|\\.)*+)>((?:[^\\<]++|\\.|<(?!/?turn))*+)</turn>\n", re.DOTALL)
 
@@ -32,7 +33,7 @@ _encoders: dict = {}
 
 def escape(text: str) -> str:
     """Text as it may stand inside a turn."""
-    return CONTROL.sub(r"\\\g<0>", text)
+    return CONTROL.sub(ESCAPE, text)
 
 
 def unescape(text: str) -> str:
@@ -44,7 +45,7 @@ def render(turns) -> tuple[str, list[tuple[int, int, str]]]:
     """(role, text) pairs to the formatted conversation and the span and role of each text."""
     out, spans, at = [], [], 0
     for role, text in turns:
-        head = f"<turn {ROLE_CONTROL.sub(chr(92) * 2 + 'g<0>', role)}>"
+        head = f"<turn {ROLE_CONTROL.sub(ESCAPE, role)}>"
         body = escape(text)
         spans.append((at + len(head), at + len(head) + len(body), role))
         out += [head, body, "</turn>\n"]

@@ -77,9 +77,13 @@ def gumbel(ids, texts, seed: int):
 
 @dataclass
 class Importance:
-    """A fitted model: the log ratio per bucket and the sample of labelled rows."""
+    """A fitted model: n-grams per bucket in all texts and in the good ones, and the sample of
+    labelled rows. A text is scored against the counts of all other texts: its own n-grams are in
+    the model of all texts, and in that of the good ones only if it is labelled, and would else
+    speak for labelled texts and against others."""
 
-    ratio: np.ndarray
+    every: np.ndarray
+    target: np.ndarray
     ids: np.ndarray
     good: np.ndarray
     seed: int = 1
@@ -89,23 +93,35 @@ class Importance:
     def score(self, batch, at: int, text: int):
         """log weight, key (with noise), n-grams and label (1, 0, -1 for none) per row."""
         texts, ids = batch.column(text), batch.column(at)
-        weight, count = np.zeros(len(texts)), np.zeros(len(texts), dtype="i8")
-        for first, last in pieces(texts):
-            bucket, doc = features(Tokens(texts.slice(first, last - first)))
-            weight[first:last] = np.bincount(doc, self.ratio[bucket], last - first)
-            count[first:last] = np.bincount(doc, minlength=last - first)
-        key = np.round(weight + self.temperature * gumbel(ids, texts, self.seed), 6)
         held = ids.fill_null(0).to_numpy(zero_copy_only=False)
         place = np.searchsorted(self.ids, held)
         known = (place < len(self.ids)) & ids.is_valid().to_numpy(zero_copy_only=False)
         known[known] &= self.ids[place[known]] == held[known]
         label = np.full(len(texts), -1, dtype="i4")
         label[known] = self.good[place[known]]
+        weight, count = np.zeros(len(texts)), np.zeros(len(texts), dtype="i8")
+        for first, last in pieces(texts):
+            bucket, doc = features(Tokens(texts.slice(first, last - first)))
+            count[first:last] = np.bincount(doc, minlength=last - first)
+            weight[first:last] = self.log_ratio(bucket, doc, count[first:last], label[first:last] == 1)
+        key = np.round(weight + self.temperature * gumbel(ids, texts, self.seed), 6)
         # a text without any n-gram says nothing good about itself
         key[count == 0] = -np.inf
         return weight, key, count, label
 
 
+    def log_ratio(self, bucket, doc, count, fine):
+        """Sum over a text's n-grams of the log ratio of the two models without that text."""
+        pairs, own = np.unique(doc * BUCKETS + bucket, return_counts=True)
+        doc, bucket = pairs // BUCKETS, pairs % BUCKETS
+        rest = (self.every[bucket] - own + 0.5) / (self.every.sum() - count[doc] + 0.5 * BUCKETS)
+        mine = fine[doc]
+        prior = PRIOR * BUCKETS
+        among = self.target[bucket] - own * mine + prior * rest
+        good = among / (self.target.sum() - count[doc] * mine + prior)
+        return np.bincount(doc, own * (np.log(good) - np.log(rest)), len(count))
+
+
 def label_sample(labels: DataFrame, seed: int, most: int = MAX_LABELS):
     """At most `most` labelled ids in a seeded order, as sorted arrays (ids, good). An id with
     several labels is good when most of them are."""
@@ -141,14 +157,10 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 1) -> Importance:
 
     counts = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(count, "bucket bigint, n bigint, t bigint")
     rows = counts.groupBy("bucket").agg(F.sum("n"), F.sum("t")).collect()  # at most BUCKETS rows
-    every, target = np.full(BUCKETS, 0.5), np.zeros(BUCKETS)
+    every, target = np.zeros(BUCKETS, dtype="i8"), np.zeros(BUCKETS, dtype="i8")
     for bucket, n, t in rows:
-        every[bucket] += n
-        target[bucket] = t
-    every /= every.sum()
-    weight = PRIOR * BUCKETS
-    ratio = np.log((target + weight * every) / (target.sum() + weight)) - np.log(every)
-    return Importance(ratio, ids, good, seed)
+        every[bucket], target[bucket] = n, t
+    return Importance(every, target, ids, good, seed)
 
 
 def score(docs: DataFrame, model: Importance) -> DataFrame:

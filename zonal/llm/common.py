@@ -190,7 +190,7 @@ class _Sink(io.RawIOBase):
         super().close()
 
 
-def pieces(texts, most: int = 1 << 21):
+def pieces(texts, most: int = 1 << 20):
     """Slices (first, last) of an Arrow string column with about `most` bytes each; a longer
     text is a slice of its own."""
     import numpy as np

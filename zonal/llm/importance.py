@@ -100,7 +100,7 @@ class Importance:
         label = np.full(len(texts), -1, dtype="i4")
         label[known] = self.good[place[known]]
         weight, count = np.zeros(len(texts)), np.zeros(len(texts), dtype="i8")
-        for first, last in pieces(texts):
+        for first, last in pieces(texts, 1 << 19):
             bucket, doc = features(Tokens(texts.slice(first, last - first)))
             count[first:last] = np.bincount(doc, minlength=last - first)
             weight[first:last] = self.log_ratio(bucket, doc, count[first:last], label[first:last] == 1)
@@ -148,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 1) -> Importance:
             chosen = np.isin(held.fill_null(0).to_numpy(zero_copy_only=False), fine)
             chosen &= held.is_valid().to_numpy(zero_copy_only=False)
             texts = batch.column(1)
-            for first, last in pieces(texts):
+            for first, last in pieces(texts, 1 << 19):
                 bucket, doc = features(Tokens(texts.slice(first, last - first)))
                 every += np.bincount(bucket, minlength=BUCKETS)
                 target += np.bincount(bucket[chosen[first:last][doc]], minlength=BUCKETS)

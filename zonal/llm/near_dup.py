@@ -107,7 +107,7 @@ def _sketches(batch, at: int, text: int):
     import xxhash
 
     texts = batch.column(text)
-    for first, last in pieces(texts, 1 << 22):
+    for first, last in pieces(texts, 1 << 21):
         held = texts.slice(first, last - first).cast(pa.large_binary()).to_pylist()
         sets = [shingles(t or b"") for t in held]
         sizes = np.array([len(s) for s in sets], dtype="i8")

@@ -78,6 +78,20 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diamonds(spark, sf_dir).select("list_id", "location_id", rings.alias("rings"))
 
 
+def hourglasses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rings that cross themselves in the middle of each diamond: two triangles, one above the
+    other, whose signed areas cancel."""
+
+    def corner(dx: int, dy: int) -> Column:
+        return F.struct(
+            ((F.col("cx") + 0.25 + F.col("w") * dx) / 4000.0 - 180.0).alias("x"),
+            (90.0 - (F.col("cy") + 0.125 + F.col("w") * dy) / 4000.0).alias("y"),
+        )
+
+    ring = F.array(*[corner(dx, dy) for dx, dy in [(-1, -1), (1, -1), (-1, 1), (1, 1), (-1, -1)]])
+    return diamonds(spark, sf_dir).select("list_id", "location_id", F.array(ring).alias("rings"))
+
+
 # -- tiles -------------------------------------------------------------------
 
 

@@ -211,6 +211,11 @@ def area_sums(criteria: dict[str, str]) -> str:
 
 ORACLE["extended_analyses"] = f"with {PX} select list_id, location_id, {area_sums(EXTENTS)} from px group by 1, 2"
 ORACLE["extended_yearly"] = yearly(PX, "px", "px", list(EXTENDED_YEARLY), list(EXTENDED_YEARLY.values()))
+STANDING_IN = f"{PIX}, {VALUED}, ext as (select *, prim as intact, peat as protected, prim as soy from valued)"
+ORACLE["fcd_extended"] = f"""select y.*, {", ".join(f"a.{name}" for name in EXTENTS)}
+from ({yearly(STANDING_IN, "ext", "poly", list(EXTENDED_YEARLY), list(EXTENDED_YEARLY.values()))}) y
+join (with {STANDING_IN} select list_id, location_id, {area_sums(EXTENTS)} from ext group by 1, 2) a
+  on a.list_id = y.list_id and a.location_id = y.location_id"""
 ORACLE["analysis_columns"] = (
     f"with {PX} select list_id, location_id, {area_sums(dict(zip(NAMES, CRITERIA)))} from px group by 1, 2"
 )
@@ -291,6 +296,15 @@ ORACLE["coverage_runs"] = f"""with {PIX}
 select list_id, location_id, key_col, key_row, count(*) as n_pixels, sum(r % 10)::bigint as sum_r
 from pix group by 1, 2, 3, 4"""
 
+ORACLE["coverage_crossing_rings"] = f"""with {POLY},
+cand as (select *, unnest(range(cx - w - 1, cx + w + 2)) as c from poly),
+cand2 as (select *, unnest(range(cy - w - 1, cy + w + 2)) as r from cand),
+pix as (
+  select distinct list_id, location_id, r, c from cand2
+  where abs(c - cx + 0.25e0) < abs(r - cy + 0.375e0) and abs(r - cy + 0.375e0) < w)
+select list_id, location_id, c // 10 as key_col, r // 10 as key_row, count(*) as n_pixels, sum(r % 10)::bigint as sum_r
+from pix group by 1, 2, 3, 4"""
+
 ORACLE["coverage_all_touched"] = f"""with {TOUCHED_PIX}
 select list_id, location_id, key_col, key_row, count(*) as n_pixels from pix group by 1, 2, 3, 4"""
 

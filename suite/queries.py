@@ -4,6 +4,7 @@ maps are unfolded to (bucket, value) rows and areas rounded, so results can be h
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,6 +97,18 @@ def fcd_histogram_all_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(agg.map_rows(totals, BY, names), names)
 
 
+@query
+def fcd_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly maps and areas in one report; further layers stand in for those without tiles."""
+    layers = replace(LAYERS, intact=LAYERS.primary, protected=LAYERS.peat, soy=LAYERS.primary)
+    analyses = plans.extended_analyses(layers)
+    yearly, areas = [a.name for a in analyses if a.yearly], [a.name for a in analyses if not a.yearly]
+    totals = jobs.loss_by_year_histogram(
+        inputs.locations(spark, sf_dir), inputs.tiles(spark, sf_dir), SMALL, layers, analyses
+    )
+    return rounded(agg.map_rows(totals, [*BY, *areas], yearly), [*yearly, *areas])
+
+
 @query
 def extended_analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
     analyses = [a for a in plans.extended_analyses() if not a.yearly]
@@ -271,6 +284,13 @@ def coverage_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.groupBy(*BY, *KEY).agg(F.sum(pixels).alias("n_pixels"), F.sum(moment).alias("sum_r"))
 
 
+@query
+def coverage_crossing_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = cov.coverage_runs(inputs.hourglasses(spark, sf_dir), SMALL)
+    pixels = F.col("c1") - F.col("c0")
+    return runs.groupBy(*BY, *KEY).agg(F.sum(pixels).alias("n_pixels"), F.sum(pixels * F.col("r")).alias("sum_r"))
+
+
 @query
 def coverage_all_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = cov.coverage_cells(inputs.locations(spark, sf_dir), SMALL, rule="all_touched")

@@ -28,11 +28,11 @@ def test_codes_outside_the_slots(spark):
 
 
 def test_conditional_sums_per_year(spark):
-    rows = [(1, 2020, 91, 12), (1, 2020, 98, 1), (1, 2012, 10, 11)]
+    rows = [(7, 2003, 90, 40), (7, 2003, 95, 3), (7, 2003, 97, 5), (7, 2009, 30, 6), (7, 2009, 29, 8), (7, 2015, None, 2)]
     df = spark.createDataFrame(rows, "id int, loss_year int, tcd int, area int")
     measures = {"gt90": F.when(F.col("tcd") > 90, F.col("area")), "lt30": F.when(F.col("tcd") < 30, F.col("area"))}
     got = {r["bucket"]: (r["gt90"], r["lt30"]) for r in agg.sums_by_bucket(df, ["id"], F.col("loss_year"), measures).collect()}
-    assert got == {2020: (13, None), 2012: (None, 11)}
+    assert got == {2003: (8, None), 2009: (None, 8), 2015: (None, None)}
 
 
 def test_histogram_agg_and_scale(spark):

@@ -100,11 +100,25 @@ def test_clipped_to_the_world(spark):
 
 def test_tall_polygon_spans_bands(spark):
     tall = [(300.2, 3.3), (303.6, 3.3), (303.6, 356.8), (300.2, 356.8)]
-    old, cov.BAND = cov.BAND, 64
-    try:
-        assert set(covered(frame(spark, [(1, 1, [tall])]))[(1, 1)]) == pixels([tall], "center")
-    finally:
-        cov.BAND = old
+    assert set(covered(frame(spark, [(1, 1, [tall])]))[(1, 1)]) == pixels([tall], "center")
+
+
+@pytest.mark.parametrize("rule", RULES)
+def test_crossing_rings_are_filled_by_parity(spark, rule):
+    rng = random.Random(71)
+    bow = [(100.2, 50.3), (120.4, 50.3), (100.2, 70.7), (120.4, 70.7)]
+    lopsided = [(200.2, 50.3), (220.4, 54.1), (201.3, 90.7), (230.4, 81.7)]
+    tangles = [[(rng.uniform(300, 330), rng.uniform(100, 130)) for _ in range(7)] for _ in range(6)]
+    rows = [(1, n, [ring]) for n, ring in enumerate([bow, lopsided, *tangles])]
+    got = covered(frame(spark, rows), rule)
+    for list_id, location_id, rings in rows:
+        assert sorted(got[(list_id, location_id)]) == sorted(pixels(rings, rule))
+
+
+def test_coverage_needs_four_exchanges_and_no_more(spark):
+    df = cov.coverage_cells(frame(spark, random_rows(23, 12)), TINY)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 4
 
 
 def test_unclosed_and_closed_rings_agree(spark):

@@ -75,3 +75,10 @@ def test_tile_uri(spark):
     assert one(spark, grid.tile_id(F.lit(17), F.lit(8))) == "10N_010W"
     assert one(spark, grid.tile_id(F.lit(0), F.lit(17))) == "80S_180W"
     assert one(spark, grid.file_of_key(F.lit(2999))) == 29
+
+
+def test_points_outside_the_world_have_no_key(spark):
+    points = [(180.0, -90.0), (-180.0, 90.0), (-500.0, 0.0), (0.0, 95.0), (float("nan"), 0.0)]
+    df = spark.createDataFrame(points, "x double, y double")
+    got = [tuple(r["k"]) for r in df.select(Grid().point_key(F.col("x"), F.col("y")).alias("k")).collect()]
+    assert got == [(3599, 1799), (0, 0), (None, 900), (1800, None), (None, 900)]

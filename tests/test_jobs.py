@@ -93,6 +93,35 @@ def test_against_brute_force(world):
         assert [got[(list_id, location_id)][NAMES[0]][b] for b in range(32)] == pytest.approx(want)
 
 
+@pytest.mark.parametrize("job", [loss_by_year_histogram, loss_by_year_pixelwise])
+def test_areas_beside_yearly_maps(world, job):
+    rows, locations, tiles = world
+    layers = Layers(intact=L.primary, protected=L.peat, soy=L.primary)
+    analyses = plans.extended_analyses(layers)
+    got = {(r["list_id"], r["location_id"]): r for r in job(locations, tiles, TINY, layers, analyses).collect()}
+    cells = {(t["key_col"], t["key_row"], t["layer"]): t["cells"] for t in tiles.collect()}
+    numbers = locations.sparkSession.range(36).select(F.col("id").cast("int").alias("key_row"))
+    areas = {r["key_row"]: r["area"] for r in jobs.with_pixel_area(numbers, TINY).collect()}
+    assert set(got) == {(a, b) for a, b, _ in rows}
+    for list_id, location_id, rings in rows:
+        total = extent = habitat = 0.0
+        soy = [0.0] * 32
+        for r, c in pixels(rings, "center"):
+            i, area = (r % 10) * 10 + c % 10, areas[r // 10]
+            loss, density, primary = (
+                (cells.get((c // 10, r // 10, name)) or [None] * 100)[i] for name in (L.loss, L.density, L.primary)
+            )
+            total += area
+            extent += area if (density or 0) > 30 else 0.0
+            habitat += area if (primary or 0) > 0 else 0.0
+            if loss and (primary or 0) > 0:
+                soy[loss] += area
+        row = got[(list_id, location_id)]
+        assert row["total_area"] == pytest.approx(total) and row["tree_cover_extent_total"] == pytest.approx(extent)
+        assert row["natural_habitat_primary"] == pytest.approx(habitat)
+        assert [row["tree_cover_loss_soy_yearly"][b] for b in range(32)] == pytest.approx(soy)
+
+
 def test_area_is_conserved(world):
     _, locations, tiles = world
     everything = Analysis("total", (), yearly=True)

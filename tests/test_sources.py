@@ -59,6 +59,39 @@ def test_geojson_rejects_other_shapes(spark, tmp_path):
         loc.read_geojson(spark, str(path)).collect()
 
 
+@pytest.mark.parametrize("lines", [False, True])
+def test_geojson_loses_no_feature(spark, tmp_path, lines):
+    nowhere = {"type": "Feature", "properties": {"list_id": "a", "location_id": 3}, "geometry": None}
+    given = [*features(), nowhere, feature("a", 4, "MultiPolygon", []), feature("a", 5, "Polygon", [])]
+    path = tmp_path / "f.json"
+    path.write_text("\n".join(map(json.dumps, given)) if lines else json.dumps({"features": given}))
+    df = loc.read_geojson(spark, str(path), "list_id string, location_id decimal(10,2)", one_feature_per_line=lines)
+    assert sorted((int(r["location_id"]), len(r["rings"])) for r in df.collect()) == [(1, 2), (2, 1), (2, 1), (3, 0), (4, 0), (5, 0)]
+
+
+@pytest.mark.parametrize(
+    "geometry, message",
+    [
+        ({"type": "Polygon"}, "without coordinates"),
+        ({"coordinates": [[[1, 2]]]}, "unsupported geometry type null"),
+        ({"type": "Polygon", "coordinates": [[["east", 2.0]]]}, ""),
+        ({"type": "Polygon", "coordinates": [[[1.0], [2.0, 3.0], [4.0, 1.0]]]}, "two numbers"),
+    ],
+)
+def test_geojson_refuses_what_it_cannot_read(spark, tmp_path, geometry, message):
+    path = tmp_path / "f.json"
+    path.write_text(json.dumps({"features": [{"properties": {"list_id": "a", "location_id": 1}, "geometry": geometry}]}))
+    with pytest.raises(Exception, match=message):
+        loc.read_geojson(spark, str(path)).collect()
+
+
+def test_geojson_without_features_fails(spark, tmp_path):
+    path = tmp_path / "f.json"
+    path.write_text(json.dumps(features()[0]))
+    with pytest.raises(Exception, match="no features"):
+        loc.read_geojson(spark, str(path)).collect()
+
+
 def test_parquet_locations_and_bounds(spark, tmp_path):
     df = frame(spark, [(1, -1, [SHELL]), (1, 5, [OTHER])])
     df.write.parquet(str(tmp_path / "l"))

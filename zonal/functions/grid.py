@@ -70,12 +70,14 @@ class Grid:
         return (F.lit(90.0) - lat) * F.lit(float(self.px_per_deg))
 
     def point_key(self, lon: Column, lat: Column) -> Column:
-        """Segment key of a point, clamped to the world's last column and row."""
-        col = _floor_div(self.x_to_px(lon), self.block)
-        row = _floor_div(self.y_to_px(lat), self.block)
+        """Segment key of a point. The east and south edge of the world belong to its last column
+        and row; a point outside the world, or with a NaN coordinate, has NULL there."""
+        x, y = self.x_to_px(lon), self.y_to_px(lat)
+        col = F.least(_floor_div(x, self.block), F.lit(self.cols - 1))
+        row = F.least(_floor_div(y, self.block), F.lit(self.rows - 1))
         return F.struct(
-            _clamp(col, 0, self.cols - 1).cast("int").alias("col"),
-            _clamp(row, 0, self.rows - 1).cast("int").alias("row"),
+            F.when(x.between(0, self.width), col.cast("int")).alias("col"),
+            F.when(y.between(0, self.height), row.cast("int")).alias("row"),
         )
 
     def extent_key(self, extent: Column) -> Column:
@@ -175,7 +177,3 @@ def _lat_name(lat: Column) -> Column:
 def _floor_div(px: Column, size: int) -> Column:
     # floor to the pixel first: the pixel is an exact integer, the quotient need not be
     return F.floor(F.floor(px) / F.lit(size))
-
-
-def _clamp(value: Column, low: int, high: int) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), value))

@@ -43,19 +43,20 @@ def _slot_map(expression: str) -> Column:
     return F.expr(f"map_from_arrays(sequence(0, {BUCKETS - 1}), {_slots(expression)})")
 
 
-def dense_maps(long: DataFrame, by: list[str], names: list[str]) -> DataFrame:
-    """Long form to one MAP<INT, DOUBLE> per measure with every slot present."""
-    held = long.groupBy(*by).agg(
-        F.map_from_entries(
-            F.collect_list(F.when(F.col("bucket").isNotNull(), F.struct("bucket", F.struct(*names))))
-        ).alias("held")
-    )
+def dense_maps(long: DataFrame, by: list[str], names: list[str], totals: list[str] | None = None) -> DataFrame:
+    """Long form to one MAP<INT, DOUBLE> per measure with every slot present. Measures in
+    `totals` are summed over all rows instead, those without a bucket included."""
+    totals = totals or []
+    sums = [F.coalesce(F.sum(name), F.lit(0.0)).alias(name) for name in totals]
+    entries = F.collect_list(F.when(F.col("bucket").isNotNull(), F.struct("bucket", F.struct(*names)))) if names else None
+    maps = [F.map_from_entries(entries).alias("held")] if names else []
+    held = long.groupBy(*by).agg(*maps, *sums)
 
     def dense(name: str) -> Column:
         # written out per slot: a lambda over the slots would leave generated code
         return _slot_map(f"coalesce(try_element_at(held, {{slot}}).`{name}`, 0e0)").alias(name)
 
-    return held.select(*by, *[dense(name) for name in names])
+    return held.select(*by, *[dense(name) for name in names], *totals)
 
 
 def loss_year_agg(

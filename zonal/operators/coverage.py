@@ -1,12 +1,12 @@
 """Which pixels a polygon covers, as a relational job.
 
-A location is one or more polygon parts (shell ring first, then holes). For every
-pixel row an edge contributes +1 or -1 at the column where it is crossed, with the
-sign normalised by the ring's orientation and its role. Summed per column these
-are a difference array: its running total along the row is the number of parts
-covering a pixel, so holes, overlapping parts and repeated features all come out
-of one grouped sum. Nothing is gathered per location: the sum combines before the
-shuffle and a row holds at most one entry per grid column.
+A location is one or more polygon parts (shell ring first, then holes). In every pixel
+row the edges of a part are crossed at some columns, and the part covers what lies
+between an odd crossing and the next: holes come out of that, and so do rings that
+cross themselves, whatever their orientation. The spans of all parts are then steps
+of a difference array, +1 at their start and -1 at their end, whose running total
+along the row is the number of parts covering a pixel. Nothing is gathered per
+location: steps are summed before the shuffle and a row holds at most one per column.
 """
 
 from __future__ import annotations
@@ -18,9 +18,10 @@ from zonal.functions.grid import KEY, Grid
 from zonal.operators.staging import add_salt, group_sizes, salts_of, stage
 
 LOC = ("list_id", "location_id")
+PART = (*LOC, "part", "band")
 RULES = ("center", "all_touched")
 
-# Rows of one piece of an edge.
+# Rows of one piece of an edge where segments do not give it.
 BAND = 512
 
 # Locations whose masks may share one row of a cell map.
@@ -28,32 +29,23 @@ MAP_ENTRIES = 64
 
 
 def polygon_edges(locations: DataFrame, scale_x, scale_y) -> DataFrame:
-    """One row per polygon edge in grid units: x1, y1, x2, y2 and `turn`, the weight an
-    edge going down the grid has (+1/-1 by orientation, reversed for holes)."""
+    """One row per polygon edge in grid units: x1, y1, x2, y2, and `part`, which tells the parts
+    of a location apart. Copies of a part collapse to one before the shuffle."""
 
     def scaled(p: Column) -> Column:
         return F.struct(scale_x(p["x"]).alias("x"), scale_y(p["y"]).alias("y"))
 
-    rings = locations.select(*LOC, F.posexplode("rings").alias("ring_no", "ring"))
-    rings = rings.where(F.size("ring") > 2).select(*LOC, "ring_no", F.transform("ring", scaled).alias("ring"))
+    parts = locations.select(*LOC, "rings").distinct()
+    # 128 bits, and the same on every attempt of a task
+    part = F.struct(F.xxhash64("rings").alias("low"), F.xxhash64(F.lit(1), "rings").alias("high"))
+    rings = parts.select(*LOC, part.alias("part"), F.explode("rings").alias("ring"))
+    rings = rings.where(F.size("ring") > 2).select(*LOC, "part", F.transform("ring", scaled).alias("ring"))
     # closing a closed ring again only adds an empty edge
-    rings = rings.withColumn("ends", F.concat(F.slice("ring", 2, F.size("ring") - 1), F.slice("ring", 1, 1)))
-    rings = rings.withColumn("origin", F.get("ring", F.lit(0)))
-
-    def cross(total: Column, edge: Column) -> Column:
-        # relative to the first vertex, so that small rings far from the origin keep their digits
-        ax, ay = edge["ring"]["x"] - F.col("origin.x"), edge["ring"]["y"] - F.col("origin.y")
-        bx, by = edge["ends"]["x"] - F.col("origin.x"), edge["ends"]["y"] - F.col("origin.y")
-        return total + (ax * by - bx * ay)
-
-    rings = rings.withColumn("edges", F.arrays_zip("ring", "ends"))
-    area = F.aggregate("edges", F.lit(0.0), cross)
-    role = F.when(F.col("ring_no") == 0, -1).otherwise(1)
-    return rings.select(
-        *LOC, (F.signum(area).cast("int") * role).alias("turn"), F.inline("edges").alias("a", "b")
-    ).select(
+    ends = F.concat(F.slice("ring", 2, F.size("ring") - 1), F.slice("ring", 1, 1))
+    rings = rings.withColumn("edges", F.arrays_zip("ring", ends.alias("ends")))
+    return rings.select(*LOC, "part", F.inline("edges").alias("a", "b")).select(
         *LOC,
-        "turn",
+        "part",
         F.col("a.x").alias("x1"),
         F.col("a.y").alias("y1"),
         F.col("b.x").alias("x2"),
@@ -61,34 +53,30 @@ def polygon_edges(locations: DataFrame, scale_x, scale_y) -> DataFrame:
     )
 
 
-def spread_edges(edges: DataFrame) -> DataFrame:
+def spread_edges(edges: DataFrame, band: int = BAND) -> DataFrame:
     """Prepare edges for expansion into rows: ends ordered by y, so two polygons sharing an
-    edge compute the same crossings; long edges listed once per band of rows; equal edges
-    merged. The grouped sum does three things: copies of a polygon collapse before the
-    shuffle, borders between touching parts of a location cancel out, and the pieces of a
-    big polygon land on all tasks, however few files or rows it came in."""
+    edge compute the same crossings; long edges listed once per band of rows; edges that a
+    part runs along twice left out. All that follows for a part and band happens where its
+    edges were sent, and the bands of a big polygon land on all tasks, however few files or
+    rows it came in."""
     flip = (F.col("y1") > F.col("y2")) | ((F.col("y1") == F.col("y2")) & (F.col("x1") > F.col("x2")))
     ordered = edges.select(
         *LOC,
-        F.when(flip, -F.col("turn")).otherwise(F.col("turn")).alias("weight"),
+        "part",
         F.when(flip, F.col("x2")).otherwise(F.col("x1")).alias("xt"),
         F.when(flip, F.col("y2")).otherwise(F.col("y1")).alias("yt"),
         F.when(flip, F.col("x1")).otherwise(F.col("x2")).alias("xb"),
         F.when(flip, F.col("y1")).otherwise(F.col("y2")).alias("yb"),
     ).where((F.col("xt") != F.col("xb")) | (F.col("yt") != F.col("yb")))
-    first, last = [F.floor(F.col(y) / F.lit(BAND)).cast("int") for y in ("yt", "yb")]
-    pieces = ordered.withColumn("band", F.explode(F.sequence(first, last)))
-    return (
-        pieces.groupBy(*LOC, "band", "xt", "yt", "xb", "yb")
-        .agg(F.sum("weight").alias("weight"))
-        .where("weight <> 0")
-    )
+    first, last = [F.floor(F.col(y) / F.lit(band)).cast("int") for y in ("yt", "yb")]
+    pieces = ordered.withColumn("band", F.explode(F.sequence(first, last))).repartition(*PART)
+    return pieces.groupBy(*PART, "xt", "yt", "xb", "yb").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1").drop("n")
 
 
-def _rows(first: Column, last: Column, height: int) -> Column:
-    top = F.col("band") * F.lit(BAND)
+def _rows(first: Column, last: Column, height: int, band: int) -> Column:
+    top = F.col("band") * F.lit(band)
     first = F.greatest(first, top, F.lit(0)).cast("int")
-    last = F.least(last, top + F.lit(BAND - 1), F.lit(height - 1)).cast("int")
+    last = F.least(last, top + F.lit(band - 1), F.lit(height - 1)).cast("int")
     return F.explode(F.when(first <= last, F.sequence(first, last)))
 
 
@@ -107,72 +95,82 @@ def _center_column(width: int) -> Column:
     return _clip(F.ceil(_x_at(F.col("r") + half) - half), width)
 
 
-def _center_steps(pieces: DataFrame, width: int, height: int) -> DataFrame:
-    """Steps of the difference array where an edge passes between pixel centres."""
+def _inside(pieces: DataFrame, width: int, height: int, band: int) -> DataFrame:
+    """Spans of pixel centres inside a part: from each odd crossing of its edges to the next."""
     first, last = F.ceil(F.col("yt") - F.lit(0.5)), F.ceil(F.col("yb") - F.lit(0.5)) - 1
-    rows = pieces.where(F.col("yt") < F.col("yb")).withColumn("r", _rows(first, last, height))
-    return rows.select(*LOC, "r", _center_column(width).alias("c"), "weight")
+    rows = pieces.where(F.col("yt") < F.col("yb")).withColumn("r", _rows(first, last, height, band))
+    crossed = rows.select(*PART, "r", _center_column(width).alias("c"))
+    crossed = crossed.groupBy(*PART, "r", "c").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
+    along = Window.partitionBy(*PART, "r").orderBy("c")
+    spans = crossed.select(
+        *PART, "r", F.col("c").alias("c0"), F.lead("c").over(along).alias("c1"), F.row_number().over(along).alias("nth")
+    )
+    return spans.where("nth % 2 = 1").select(*LOC, "band", "r", "c0", F.coalesce("c1", F.lit(width)).alias("c1"))
 
 
-def _touch_steps(pieces: DataFrame, width: int, height: int) -> DataFrame:
-    """The centre steps, and steps that fill every pixel an edge passes through."""
+def _touched(pieces: DataFrame, width: int, height: int, band: int) -> DataFrame:
+    """Spans of the pixels an edge passes through."""
     top = F.floor("yt")
-    rows = pieces.withColumn("r", _rows(top, F.greatest(top, F.ceil("yb") - 1), height))
+    rows = pieces.withColumn("r", _rows(top, F.greatest(top, F.ceil("yb") - 1), height, band))
     flat = F.col("yt") == F.col("yb")
-    center = F.col("r") + F.lit(0.5)
     xa = F.when(flat, F.col("xt")).otherwise(_x_at(F.greatest(F.col("yt"), F.col("r"))))
     xb = F.when(flat, F.col("xb")).otherwise(_x_at(F.least(F.col("yb"), F.col("r") + 1)))
-    rows = rows.select(
-        *LOC,
-        "r",
-        F.least(xa, xb).alias("lo"),
-        F.greatest(xa, xb).alias("hi"),
-        F.when((F.col("yt") <= center) & (center < F.col("yb")), _center_column(width)).alias("c"),
-        "weight",
-    )
+    rows = rows.select(*LOC, "band", "r", F.least(xa, xb).alias("lo"), F.greatest(xa, xb).alias("hi"))
     start = F.floor("lo")
-    steps = F.array(
-        F.struct(_clip(start, width).alias("c"), F.lit(1).cast("bigint").alias("weight")),
-        F.struct(_clip(F.greatest(start + 1, F.ceil("hi")), width).alias("c"), F.lit(-1).cast("bigint").alias("weight")),
-        F.struct("c", "weight"),
-    )
-    return rows.select(*LOC, "r", F.inline(steps)).where(F.col("c").isNotNull())
+    end = F.greatest(start + 1, F.ceil("hi"))
+    return rows.select(*LOC, "band", "r", _clip(start, width).alias("c0"), _clip(end, width).alias("c1"))
 
 
-def _spans(edges: DataFrame, width: int, height: int, rule: str) -> DataFrame:
+def _spans(edges: DataFrame, width: int, height: int, rule: str, band: int = BAND) -> DataFrame:
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
-    expand = _center_steps if rule == "center" else _touch_steps
-    steps = expand(spread_edges(edges), width, height)
+    pieces = spread_edges(edges, band)
+    spans = _inside(pieces, width, height, band)
+    if rule == "all_touched":
+        spans = spans.unionByName(_touched(pieces, width, height, band))
+    ends = F.array(
+        F.struct(F.col("c0").alias("c"), F.lit(1).cast("bigint").alias("weight")),
+        F.struct(F.col("c1").alias("c"), F.lit(-1).cast("bigint").alias("weight")),
+    )
+    steps = spans.where("c0 < c1").select(*LOC, "band", "r", F.inline(ends))
     # Partial sums run before the shuffle, so a million parts in one place cost one row per step.
-    steps = steps.groupBy(*LOC, "r", "c").agg(F.sum("weight").alias("weight")).where("weight <> 0")
-    along = Window.partitionBy(*LOC, "r").orderBy("c")
+    steps = steps.groupBy(*LOC, "band", "r", "c").agg(F.sum("weight").alias("weight")).where("weight <> 0")
+    # one exchange for the running totals and for whoever groups by band afterwards
+    steps = steps.repartition(*LOC, "band")
+    along = Window.partitionBy(*LOC, "band", "r").orderBy("c")
     depth = steps.select(
         *LOC,
+        "band",
         "r",
         F.col("c").alias("c0"),
         F.lead("c").over(along).alias("c1"),
         F.sum("weight").over(along).alias("depth"),
     )
-    return depth.where(F.col("depth") > 0).select(*LOC, "r", "c0", F.coalesce("c1", F.lit(width)).alias("c1"))
+    return depth.where(F.col("depth") > 0).select(*LOC, "band", "r", "c0", F.coalesce("c1", F.lit(width)).alias("c1"))
+
+
+def _banded_spans(locations: DataFrame, grid: Grid, rule: str) -> DataFrame:
+    """Covered spans with `band`, the segment row they lie in."""
+    edges = polygon_edges(locations, grid.x_to_px, grid.y_to_px)
+    return _spans(edges, grid.width, grid.height, rule, grid.block)
 
 
 def coverage_spans(locations: DataFrame, grid: Grid, rule: str = "center") -> DataFrame:
     """Disjoint covered spans [c0, c1) per location and global pixel row r."""
-    return _spans(polygon_edges(locations, grid.x_to_px, grid.y_to_px), grid.width, grid.height, rule)
+    return _banded_spans(locations, grid, rule).drop("band")
 
 
 def coverage_runs(locations: DataFrame, grid: Grid, rule: str = "center") -> DataFrame:
     """Spans cut at segment borders: key, row r and [c0, c1) inside the segment."""
     size = F.lit(grid.block)
-    spans = coverage_spans(locations, grid, rule)
+    spans = _banded_spans(locations, grid, rule)
     first, last = F.floor(F.col("c0") / size).cast("int"), F.floor((F.col("c1") - 1) / size).cast("int")
     cut = spans.withColumn("key_col", F.explode(F.sequence(first, last)))
     left = F.col("key_col") * size
     return cut.select(
         *LOC,
         "key_col",
-        F.floor(F.col("r") / size).cast("int").alias("key_row"),
+        F.col("band").alias("key_row"),
         (F.col("r") % size).alias("r"),
         (F.greatest(F.col("c0"), left) - left).alias("c0"),
         (F.least(F.col("c1"), left + size) - left).alias("c1"),
@@ -245,12 +243,13 @@ def cell_map(cells: DataFrame, grid: Grid, value: str = "runs", max_entries: int
     sizes = group_sizes(cells, keys)
     hot = salts_of(sizes, keys, max_entries)
     parts = add_salt(cells, hot, hot.count(), keys, ["location_id"])
-    held = dense_mask(F.col("runs"), grid.cells) if value == "mask" else F.col("runs")
-    entries = F.collect_list(F.struct("location_id", held.alias("held")))
-    return (
-        parts.groupBy(*keys, F.col("salt").alias("part"))
-        .agg(F.map_from_entries(entries).alias("geom_cells"))
-    )
+    entries = F.collect_list(F.struct("location_id", "runs"))
+    maps = parts.groupBy(*keys, F.col("salt").alias("part")).agg(F.map_from_entries(entries).alias("geom_cells"))
+    if value == "mask":
+        # runs go through the shuffle; masks, a thousand times as large, are made after it
+        masks = F.transform_values("geom_cells", lambda _, runs: dense_mask(runs, grid.cells))
+        maps = maps.withColumn("geom_cells", masks)
+    return maps
 
 
 def explode_cell_map(maps: DataFrame, value: str = "runs") -> DataFrame:

@@ -46,11 +46,19 @@ def scalar_totals(pixels: DataFrame, analyses: list[Analysis], by: list[str] = B
 
 def _contributing(analyses: list[Analysis], loss: str, strict: bool) -> Column:
     """Pixels that add to some analysis. Loss is rare, so most pixels stop here and never
-    reach the aggregation; `strict` also keeps codes it has to complain about."""
-    wanted = reduce(or_, [a.criterion() for a in analyses])
+    reach the aggregation; `strict` also keeps codes it has to complain about. A pixel without
+    a loss code still adds to the analyses that are not split by year."""
+    lost = F.col(loss).isNotNull()
+    # a NULL layer fails its criterion; it must not turn the whole condition to NULL
+    wanted = [F.coalesce(a.criterion() & lost if a.yearly else a.criterion(), F.lit(False)) for a in analyses]
     if strict:
-        wanted = wanted | ~F.col(loss).between(0, BUCKETS - 1)
-    return F.col(loss).isNotNull() & wanted
+        wanted.append(lost & ~F.col(loss).between(0, BUCKETS - 1))
+    return reduce(or_, wanted)
+
+
+def _required(analyses: list[Analysis], loss: str) -> str | None:
+    """The loss layer where nothing can be found without it."""
+    return loss if all(a.yearly for a in analyses) else None
 
 
 def _check_areas_of_interest(locations: DataFrame) -> None:
@@ -70,7 +78,9 @@ def loss_by_year_pixelwise(
     strict: bool = False,
     require_aoi: bool = False,
 ) -> DataFrame:
-    """Yearly loss per location: every covered pixel becomes a row, areas are summed."""
+    """Every covered pixel becomes a row, areas are summed. One column per analysis: the map of
+    all years for a yearly one, the area for the others. The coverage is written to the
+    staging folder when this is called, not when the result is read."""
     analyses = standard_analyses(layers) if analyses is None else analyses
     if require_aoi:
         _check_areas_of_interest(locations)
@@ -80,13 +90,13 @@ def loss_by_year_pixelwise(
         needed_layers(analyses, layers.loss),
         grid,
         rule,
-        required=layers.loss,
+        required=_required(analyses, layers.loss),
         carry={"area": pixel_area_ha(grid, F.col("key_row"))},
     )
     pixels = pixels.where(_contributing(analyses, layers.loss, strict))
     areas = {a.name: a.content(F.col("area")) for a in analyses}
     long = sums_by_bucket(pixels, BY, year_bucket(F.col(layers.loss), strict), areas)
-    return _every_location(long, locations, [a.name for a in analyses])
+    return _every_location(long, locations, analyses)
 
 
 def loss_by_year_histogram(
@@ -100,8 +110,8 @@ def loss_by_year_histogram(
     require_aoi: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Yearly loss per location from pixel counts: counts are exact integers, and the area
-    of a segment row scales them once they are down to a few rows per location."""
+    """The same from pixel counts: counts are exact integers, and the area of a segment row
+    scales them once they are down to a few rows per location."""
     analyses = standard_analyses(layers) if analyses is None else analyses
     if require_aoi:
         _check_areas_of_interest(locations)
@@ -112,7 +122,7 @@ def loss_by_year_histogram(
         needed_layers(analyses, layers.loss),
         grid,
         rule,
-        required=layers.loss,
+        required=_required(analyses, layers.loss),
         rows_per_task=rows_per_task,
     )
     counts = zonal_histogram(
@@ -124,15 +134,17 @@ def loss_by_year_histogram(
     )
     scaled = with_pixel_area(counts, grid).select(*BY, "bucket", *[(F.col(n) * F.col("area")).alias(n) for n in names])
     long = scaled.groupBy(*BY, "bucket").agg(*[F.sum(n).alias(n) for n in names])
-    return _every_location(long, locations, names)
+    return _every_location(long, locations, analyses)
 
 
-def _every_location(long: DataFrame, locations: DataFrame, names: list[str]) -> DataFrame:
-    """Dense maps with a row for every input location, all zeros where nothing was covered."""
+def _every_location(long: DataFrame, locations: DataFrame, analyses: list[Analysis]) -> DataFrame:
+    """Maps and areas with a row for every input location, all zeros where nothing was covered."""
+    names = [a.name for a in analyses]
     nothing = locations.select(
         *BY, F.lit(None).cast("int").alias("bucket"), *[F.lit(None).cast("double").alias(n) for n in names]
     )
-    return dense_maps(long.unionByName(nothing), BY, names)
+    yearly, scalar = [a.name for a in analyses if a.yearly], [a.name for a in analyses if not a.yearly]
+    return dense_maps(long.unionByName(nothing), BY, yearly, scalar).select(*BY, *names)
 
 
 def run_report(

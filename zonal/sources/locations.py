@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonal.operators.coverage import LOC
 
@@ -28,37 +29,42 @@ def read_geojson(
 
     A FeatureCollection is one JSON document and so one task per file; give many files,
     or one feature per line (`one_feature_per_line`), which Spark splits at any size.
+
+    No feature is lost: one with a null geometry, or without any part, is a row without rings,
+    which covers nothing and is still reported. Anything that cannot be read fails the query: a
+    document without features, another geometry type, missing or unreadable coordinates.
     """
-    shape_type = "struct<type:string,coordinates:string>"
-    property_type = f"struct<{_fields(properties)}>"
+    shape_type = T.StructType().add("type", "string").add("coordinates", "string")
+    feature = T.StructType().add("type", "string").add("geometry", shape_type)
+    feature = feature.add("properties", T.StructType.fromDDL(properties))
     reader = spark.read.option("mode", "FAILFAST")
     if one_feature_per_line:
-        lines = reader.schema(f"type string, geometry {shape_type}, properties {property_type}").json(paths)
+        lines = reader.schema(feature).json(paths)
         features = lines.select(F.struct("geometry", "properties").alias("feature"))
     else:
-        schema = f"features array<struct<type:string,geometry:{shape_type},properties:{property_type}>>"
-        documents = reader.schema(schema).option("multiLine", True).json(paths)
-        features = documents.select(F.explode("features").alias("feature"))
+        documents = reader.schema(T.StructType().add("features", T.ArrayType(feature))).option("multiLine", True).json(paths)
+        held = F.coalesce("features", F.raise_error(F.lit("no features in a GeoJSON document")))
+        features = documents.select(F.explode(held).alias("feature"))
     shape, raw = F.col("feature.geometry.type"), F.col("feature.geometry.coordinates")
-    polygon = "array<array<array<double>>>"
-    known = shape.isin("Polygon", "MultiPolygon")
+    raw = F.coalesce(raw, F.raise_error(F.lit("geometry without coordinates")))
+    polygon, strict = "array<array<array<double>>>", {"mode": "FAILFAST"}
     parts = (
-        F.when(shape == "Polygon", F.array(F.from_json(raw, polygon)))
-        .when(shape == "MultiPolygon", F.from_json(raw, f"array<{polygon}>"))
-        .when(~known, F.raise_error(F.concat(F.lit("unsupported geometry type "), shape)))
+        F.when(F.col("feature.geometry").isNull(), F.lit(None))
+        .when(shape == "Polygon", F.array(F.from_json(raw, polygon, strict)))
+        .when(shape == "MultiPolygon", F.from_json(raw, f"array<{polygon}>", strict))
+        .otherwise(F.raise_error(F.concat(F.lit("unsupported geometry type "), F.coalesce(shape, F.lit("null")))))
     )
-    exploded = features.select("feature.properties.*", F.explode(parts).alias("part"))
-    return exploded.select(*[c for c in exploded.columns if c != "part"], _to_rings(F.col("part")).alias("rings"))
-
-
-def _fields(ddl: str) -> str:
-    """Column list as written in DDL to struct fields."""
-    return ",".join(":".join(f"`{w.strip('`')}`" if i == 0 else w for i, w in enumerate(f.split(None, 1))) for f in ddl.split(","))
+    exploded = features.select("feature.properties.*", F.explode_outer(parts).alias("part"))
+    rings = F.coalesce(_to_rings(F.col("part")), F.array().cast(RINGS))
+    return exploded.select(*[c for c in exploded.columns if c != "part"], rings.alias("rings"))
 
 
 def _to_rings(part: Column) -> Column:
+    def number(p: Column, place: int) -> Column:
+        return F.coalesce(F.get(p, F.lit(place)), F.raise_error(F.lit("a position needs two numbers")))
+
     def point(p: Column) -> Column:
-        return F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))
+        return F.struct(number(p, 0).alias("x"), number(p, 1).alias("y"))
 
     return F.transform(part, lambda ring: F.transform(ring, point))
 

@@ -317,7 +317,11 @@ def group(sketches: DataFrame) -> DataFrame:
     ones = classes.select("row")
     bands = stage(sketches.select(F.col("row_id").alias("row"), "bands").join(ones, "row", "left_semi"))
     entries = bands.select("row", F.explode("bands").alias("band"))
-    total = bands.count() * BANDS
+    # most bands belong to one set alone: count them with nothing else in the shuffle, and go on
+    # with entries of the others
+    often = stage(entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    shared, total = often.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    entries = sift(entries, "band", often, shared)
     odd = F.xxhash64("row") % 2 != 0
     left, right = F.when(odd, F.col("row")), F.when(~odd, F.col("row"))
     buckets = entries.groupBy("band").agg(

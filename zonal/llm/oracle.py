@@ -165,10 +165,110 @@ select doc_id, n_words, cast(word_chars as bigint) as word_chars, n_symbols, n_d
 from failed left join rated using (source)
 """
 
+FINITE = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+OP11 = f"""
+with kept as (
+  select vec_id, list_transform(embedding, lambda x: floor(64e0 * x)) as v from embeddings where {FINITE}
+),
+scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from kept q join kept c on c.vec_id <> q.vec_id where q.vec_id % 20 = 0
+),
+ranked as (
+  select query_id, vec_id, score, row_number() over (partition by query_id order by score desc, vec_id) as place from scored
+)
+select query_id, cast(place as int) as rank, vec_id, score from ranked where place <= 20
+"""
+
+# Nearest centroid of every vector: the smallest (distance, number).
+NEAREST = """
+  select vec_id, v, unnest(min({{'d': cast(list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c) as bigint), 'cluster': cluster}}))
+  from kept, c{k} group by vec_id, v
+"""
+
+MOVED = """
+c{next} as (
+  select c{k}.cluster, coalesce(list_transform(sums, lambda s: floor((s - ((s % n) + n) % n) / n)), c) as c
+  from c{k} left join (
+    select cluster, any_value(n) as n, list(s order by pos) as sums
+    from (select cluster, pos, count(*) as n, sum(x) as s from (
+      select cluster, unnest(range(1, 65)) as pos, unnest(v) as x from a{k}) group by cluster, pos) group by cluster) m using (cluster)
+)"""
+
+ROUNDS = ", ".join(
+    f"a{k} as ({NEAREST.format(k=k)})" + ("," + MOVED.format(k=k, next=k + 1) if k < 5 else "") for k in range(6)
+)
+
+OP12 = f"""
+with kept as (
+  select vec_id, list_transform(embedding, lambda x: floor(256e0 * x)) as v from embeddings where {FINITE} and len(embedding) = 64
+),
+c0 as (
+  select row_number() over (order by sha256('2:' || vec_id)) - 1 as cluster, v as c from kept order by sha256('2:' || vec_id) limit 40
+),
+{ROUNDS},
+sums as (select cluster, sum(d) as own from a5 group by cluster)
+select vec_id, cast(cluster as int) as cluster, d as distance, cast(own as bigint) as cluster_inertia,
+  cast(sum(d) over () as bigint) as inertia,
+  sha256(array_to_string(list_transform(c, lambda x: cast(cast(x as bigint) as varchar)), ',')) as centroid_sha256
+from a5 join c5 using (cluster) join sums using (cluster)
+"""
+
+# CRC-32 of a word, byte by byte over its hexadecimal digits.
+OP13 = r"""
+with crc_table as (
+  select list(c order by i) as entries from (
+    select i, list_reduce(list_prepend(i, range(8)), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) as c
+    from (select unnest(range(256)) as i))
+),
+texts as (
+  select 0 as kind, row_number() over () as row, doc_id, text from documents
+  union all select 1, row_number() over (), null, text from benchmark
+),
+worded as (
+  select kind, row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from texts
+),
+single as (select kind, row, unnest(words) as word from worded),
+grouped as (select kind, row, word, count(*) as n from single group by kind, row, word),
+coded as (
+  select word, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(hex(word)) // 2 + 1),
+    lambda k: cast(cast('0x' || substr(hex(word), 2 * k - 1, 2) as int) as bigint))),
+    lambda c, b: xor(c // 256, entries[xor(c % 256, b) + 1])), 4294967295) % 10000 as bucket
+  from (select distinct word from grouped), crc_table
+),
+counts as (
+  select bucket, cast(coalesce(sum(n) filter (kind = 0), 0) as double) as s, cast(coalesce(sum(n) filter (kind = 1), 0) as double) as t
+  from grouped join coded using (word) group by bucket
+),
+totals as (select sum(s) as of_all, sum(t) as of_target from counts),
+gains as (
+  select bucket, cast(floor(1000e0 * ln((t + 1e0) * (of_all + 10000e0) / ((s + 1e0) * (of_target + 10000e0)))) as bigint) as gain from counts, totals
+),
+weights as (
+  select row, sum(n * gain) as weight from grouped join coded using (word) join gains using (bucket) where kind = 0 group by row
+),
+scored as (
+  select doc_id, row, cast(len(words) as bigint) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+    cast(coalesce(weight, 0) as bigint) + cast(floor(-1000e0 * ln(-ln((cast('0x' || substr(sha256('2024:' || doc_id), 1, 8) as bigint) + 0.5e0) / 4294967296e0))) as bigint) as score
+  from worded left join weights using (row) where kind = 0
+),
+ranked as (
+  select row, row_number() over (order by score desc, doc_id) as place, count(*) over () as n from scored where n_features >= 20
+)
+select doc_id, n_features, weight, score, case when place <= 10 * n // 100 then place end as rank
+from scored left join ranked using (row)
+"""
+
 ORACLE = {
     "op3_url_lists": OP3,
     "op5_chat": OP5,
     "op7_near_duplicates": OP7,
     "op8_warc": OP8,
     "op9_quality_rules": OP9,
+    "op11_vector_files": OP11,
+    "op12_centroid_search": OP12,
+    "op13_target_resampling": OP13,
 }

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonal.llm import chat, decontaminate, importance, mixing, near_dup, quality_rules, sharding, token_files, url_lists, warc
+from zonal.llm import (
+    centroids,
+    chat,
+    decontaminate,
+    importance,
+    mixing,
+    near_dup,
+    quality_rules,
+    sharding,
+    target_sampling,
+    token_files,
+    url_lists,
+    vector_search,
+    warc,
+)
 from zonal.llm.common import new_folder
 from zonal.operators.staging import stage
 
@@ -95,6 +109,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows for every twentieth vector."""
+    return vector_search.search(table(spark, sf_dir, "embeddings"), k=20, scale=64)
+
+
+def op12_centroid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors with their cluster after five rounds, and digests of the clustering."""
+    return centroids.digest(*centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, scale=256, dims=64, seed=2))
+
+
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their weight towards the benchmark, and the rank of those drawn."""
+    return target_sampling.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline from documents to shards."""
     import corpus_pipeline
@@ -115,6 +144,9 @@ QUERIES = {
         op8_warc,
         op9_quality_rules,
         op10_decontaminate,
+        op11_vector_files,
+        op12_centroid_search,
+        op13_target_resampling,
         pipeline,
     )
 }

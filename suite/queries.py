@@ -421,7 +421,7 @@ def spatial_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def locations_with_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = cov.coverage_cells(inputs.locations(spark, sf_dir), SMALL)
-    held = lay.locations_with_tiles(cells, inputs.tiles(spark, sf_dir), LAYERS.peat)
+    held = lay.locations_with_tiles(cells, inputs.tiles(spark, sf_dir), LAYERS.peat, SMALL)
     return held.select(*BY, *KEY, "n_pixels", cell_sum(F.col(LAYERS.peat)).alias("tile_sum"))
 
 

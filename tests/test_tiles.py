@@ -82,7 +82,7 @@ def test_locations_with_tiles_and_spatial_join(spark):
     df = frame(spark, [(1, 1, square)])
     from zonal import coverage_cells
 
-    held = lay.locations_with_tiles(coverage_cells(df, TINY), tiles(spark), "b").collect()
+    held = lay.locations_with_tiles(coverage_cells(df, TINY), tiles(spark), "b", TINY).collect()
     assert [(r["key_col"], r["n_pixels"]) for r in held] == [(0, 48)]
     pairs = lay.spatial_join(df, tiles(spark), TINY).collect()
     assert sorted((r["key_col"], r["layer"]) for r in pairs) == [(0, "a"), (0, "b"), (1, "a")]

@@ -87,6 +87,10 @@ class Grid:
             (extent["ymin"] + extent["ymax"]) / F.lit(2.0),
         )
 
+    def segment(self, col: Column, row: Column) -> Column:
+        """Number of a segment, row by row: one long for a key."""
+        return row.cast("bigint") * F.lit(self.cols) + col
+
     def key_extent(self, col: Column, row: Column) -> Column:
         """Extent struct of a segment key."""
         return self._extent(col, row, self.block)

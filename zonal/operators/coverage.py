@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonal.functions.grid import KEY, Grid
-from zonal.operators.staging import add_salt, group_sizes, salts_of, stage
 
 LOC = ("list_id", "location_id")
 PART = (*LOC, "part", "band")
@@ -24,7 +23,7 @@ RULES = ("center", "all_touched")
 # Rows of one piece of an edge where segments do not give it.
 BAND = 512
 
-# Locations whose masks may share one row of a cell map.
+# Range of location ids that share one row of a cell map.
 MAP_ENTRIES = 64
 
 
@@ -55,10 +54,10 @@ def polygon_edges(locations: DataFrame, scale_x, scale_y) -> DataFrame:
 
 def spread_edges(edges: DataFrame, band: int = BAND) -> DataFrame:
     """Prepare edges for expansion into rows: ends ordered by y, so two polygons sharing an
-    edge compute the same crossings; long edges listed once per band of rows; edges that a
-    part runs along twice left out. All that follows for a part and band happens where its
-    edges were sent, and the bands of a big polygon land on all tasks, however few files or
-    rows it came in."""
+    edge compute the same crossings; long edges listed once per band of rows; equal ones once,
+    with `n`, how often the part runs along them. All that follows for a part and band happens
+    where its edges were sent, and the bands of a big polygon land on all tasks, however few
+    files or rows it came in."""
     flip = (F.col("y1") > F.col("y2")) | ((F.col("y1") == F.col("y2")) & (F.col("x1") > F.col("x2")))
     ordered = edges.select(
         *LOC,
@@ -70,7 +69,7 @@ def spread_edges(edges: DataFrame, band: int = BAND) -> DataFrame:
     ).where((F.col("xt") != F.col("xb")) | (F.col("yt") != F.col("yb")))
     first, last = [F.floor(F.col(y) / F.lit(band)).cast("int") for y in ("yt", "yb")]
     pieces = ordered.withColumn("band", F.explode(F.sequence(first, last))).repartition(*PART)
-    return pieces.groupBy(*PART, "xt", "yt", "xb", "yb").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1").drop("n")
+    return pieces.groupBy(*PART, "xt", "yt", "xb", "yb").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _rows(first: Column, last: Column, height: int, band: int) -> Column:
@@ -96,9 +95,10 @@ def _center_column(width: int) -> Column:
 
 
 def _inside(pieces: DataFrame, width: int, height: int, band: int) -> DataFrame:
-    """Spans of pixel centres inside a part: from each odd crossing of its edges to the next."""
+    """Spans of pixel centres inside a part: from each odd crossing of its edges to the next. An
+    edge that the part runs along an even number of times is no border."""
     first, last = F.ceil(F.col("yt") - F.lit(0.5)), F.ceil(F.col("yb") - F.lit(0.5)) - 1
-    rows = pieces.where(F.col("yt") < F.col("yb")).withColumn("r", _rows(first, last, height, band))
+    rows = pieces.where((F.col("yt") < F.col("yb")) & (F.col("n") % 2 == 1)).withColumn("r", _rows(first, last, height, band))
     crossed = rows.select(*PART, "r", _center_column(width).alias("c"))
     crossed = crossed.groupBy(*PART, "r", "c").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
     along = Window.partitionBy(*PART, "r").orderBy("c")
@@ -109,7 +109,8 @@ def _inside(pieces: DataFrame, width: int, height: int, band: int) -> DataFrame:
 
 
 def _touched(pieces: DataFrame, width: int, height: int, band: int) -> DataFrame:
-    """Spans of the pixels an edge passes through."""
+    """Spans of the pixels an edge passes through, also one that is run along twice: a spike, or a
+    part without any area, touches what it passes."""
     top = F.floor("yt")
     rows = pieces.withColumn("r", _rows(top, F.greatest(top, F.ceil("yb") - 1), height, band))
     flat = F.col("yt") == F.col("yb")
@@ -233,18 +234,15 @@ def dense_mask(runs: Column, cells: int) -> Column:
 def cell_map(cells: DataFrame, grid: Grid, value: str = "runs", max_entries: int = MAP_ENTRIES) -> DataFrame:
     """Group coverage by list and segment into `geom_cells`: location_id -> runs or mask.
 
-    A segment crowded with locations is split into several rows (column `part`), so that
-    no map grows with the data; `explode_cell_map` reads any split the same way.
+    A map holds locations of one range of `max_entries` ids, numbered by `part`. The ids alone
+    decide on that, so a map's shape does not depend on what else lies in the segment, and no map
+    grows with the data. `explode_cell_map` reads all parts the same way.
     """
     if value not in ("runs", "mask"):
         raise ValueError("value must be 'runs' or 'mask'")
-    cells = stage(cells)
-    keys = ["list_id", *KEY]
-    sizes = group_sizes(cells, keys)
-    hot = salts_of(sizes, keys, max_entries)
-    parts = add_salt(cells, hot, hot.count(), keys, ["location_id"])
+    part = F.floor(F.col("location_id") / F.lit(max_entries)).cast("bigint")
     entries = F.collect_list(F.struct("location_id", "runs"))
-    maps = parts.groupBy(*keys, F.col("salt").alias("part")).agg(F.map_from_entries(entries).alias("geom_cells"))
+    maps = cells.groupBy("list_id", *KEY, part.alias("part")).agg(F.map_from_entries(entries).alias("geom_cells"))
     if value == "mask":
         # runs go through the shuffle; masks, a thousand times as large, are made after it
         masks = F.transform_values("geom_cells", lambda _, runs: dense_mask(runs, grid.cells))

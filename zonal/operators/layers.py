@@ -1,25 +1,33 @@
 """Joining raster layers to keys and to coverage.
 
-A tile table is long: key_col, key_row, layer, cells. Keys are plain ints, so every
-spatial join here is an equi-join. Tile joins carry a sort-merge hint: a tile column
-compresses so well that its file size says nothing about its size in memory, and
-the automatic broadcast goes by file size.
+A tile table is long (key_col, key_row, layer, cells) or stacked (one row per key, a column per
+layer, see `zonal.sources.stacks`). Keys are plain ints, so every spatial join here is an
+equi-join. Joins of long tiles carry a sort-merge hint: a tile column compresses so well that its
+file size says nothing about its size in memory, and the automatic broadcast goes by file size.
+Stacked tiles stay where they are stored, and the coverage comes to them.
+
+Which tiles a set of keys can use is answered by a map of bits, one word for every 64 segments of
+a file. Its size is bounded by the grid and not by the keys, so it is always broadcast; where the
+table is partitioned by file, the files it names are the only ones listed and read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonal.functions.grid import KEY, Grid
 from zonal.operators.coverage import LOC, coverage_cells, segment_cover
-from zonal.operators.staging import BROADCAST_ROWS, bounded_broadcast, group_sizes, spread_join, stage
+from zonal.operators.staging import group_sizes, spread_join, stage
 
 # Coverage rows of one segment that one task may work through before the segment is split.
 ROWS_PER_TASK = 256
 
-# Largest file grid whose touched files are passed to the scan as literals (648 files at 10 degrees).
-MAX_FILE_LITERALS = 1000
+# Most bits of a segment map: 262,144 words, some 20 MB as a hash relation. The 6.5 million segments
+# of the default grid have a bit each; on finer grids a bit stands for a square of segments.
+MAP_BITS = 1 << 24
 
 
 def layer_tiles(tiles: DataFrame, layer: str) -> DataFrame:
@@ -63,49 +71,82 @@ def explode_tiles(df: DataFrame, layers: list[str], grid: Grid) -> DataFrame:
     return explode_runs(df.withColumn("runs", rows), layers, keep)
 
 
+def _square(grid: Grid) -> int:
+    """Segments along the side of the square that one bit stands for."""
+    across = grid.file_px // grid.block
+    return -(-across // min(across, math.isqrt(max(1, MAP_BITS // grid.file_count))))
+
+
+def _place(df: DataFrame, grid: Grid) -> DataFrame:
+    """Add the place of a key's bit: file_row and file_col where they are not there, word and bit."""
+    across, square = grid.file_px // grid.block, _square(grid)
+    side = -(-across // square)
+    for name, key in (("file_row", "key_row"), ("file_col", "key_col")):
+        if name not in df.columns:
+            df = df.withColumn(name, grid.file_of_key(F.col(key)))
+
+    def inside(key: str) -> Column:
+        return F.floor(F.pmod(F.col(key), F.lit(across)) / F.lit(square)).cast("int")
+
+    at = inside("key_row") * F.lit(side) + inside("key_col")
+    return df.withColumn("word", F.shiftright(at, 6)).withColumn("bit", at.bitwiseAND(63))
+
+
+def segment_map(keys: DataFrame, grid: Grid) -> DataFrame:
+    """The bits of some segment keys, as written rows of file_row, file_col, word and bits."""
+    one = F.expr("shiftleft(1L, bit)")
+    placed = _place(keys.select(*KEY), grid)
+    return stage(placed.groupBy("file_row", "file_col", "word").agg(F.bit_or(one).alias("bits")))
+
+
+def pruned_tiles(tiles: DataFrame, keys: DataFrame, grid: Grid, exact: bool = False) -> DataFrame:
+    """Only tiles whose key is among `keys`, as far as the bits can tell: exactly so on the default
+    grid, and on finer ones up to a square of segments. `exact` makes sure of the rest by a join; a
+    join on the keys that follows anyway does as well. In a table partitioned by file no other file
+    is read."""
+    bits = F.broadcast(segment_map(keys, grid).where(F.col("bits") != 0))
+    met = _place(tiles, grid).join(bits, ["file_row", "file_col", "word"])
+    found = met.where(F.expr("bits & shiftleft(1L, bit)") != 0).select(*tiles.columns)
+    return found.join(keys.select(*KEY).distinct(), list(KEY), "left_semi") if exact and _square(grid) > 1 else found
+
+
 def area_tiles(tiles: DataFrame, locations: DataFrame, grid: Grid, aoi_id: int = -1) -> DataFrame:
     """Tiles of the segments touched by the area-of-interest locations."""
     area = locations.where(F.col("location_id") == aoi_id)
-    keys = segment_cover(area, grid).select(*KEY).distinct()
-    return tiles.join(keys, list(KEY), "left_semi")
+    return pruned_tiles(tiles, stage(segment_cover(area, grid).select(*KEY).distinct()), grid, exact=True)
 
 
 def locations_with_tiles(
-    cells: DataFrame, tiles: DataFrame, layer: str, rows_per_task: int = ROWS_PER_TASK
+    cells: DataFrame, tiles: DataFrame, layer: str, grid: Grid, rows_per_task: int = ROWS_PER_TASK, how: str = "inner"
 ) -> DataFrame:
-    """Coverage rows with the tile of a layer, without the ones whose tile is missing."""
-    return _meet(cells, layer_tiles(tiles, layer).where(F.col(layer).isNotNull()), rows_per_task)
+    """Coverage rows with the tile of a layer. Rows whose tile is missing are left out, or kept with
+    a NULL tile by `how="left"`."""
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    cells = stage(cells)
+    held = layer_tiles(tiles, layer).where(F.col(layer).isNotNull())
+    met = _meet(cells, held, grid, rows_per_task)
+    if how == "inner":
+        return met
+    alone = cells.join(layer_tiles(tiles, layer).where(F.col(layer).isNotNull()).select(*KEY), list(KEY), "left_anti")
+    nothing = F.lit(None).cast(held.schema[layer].dataType).alias(layer)
+    return met.unionByName(alone.select(*cells.columns, nothing))
 
 
 def spatial_join(
     locations: DataFrame, tiles: DataFrame, grid: Grid, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Location x tile pairs that intersect, as an equi-join on touched segments."""
-    return _meet(segment_cover(locations, grid), tiles, rows_per_task)
+    return _meet(stage(segment_cover(locations, grid)), tiles, grid, rows_per_task)
 
 
-def _meet(cells: DataFrame, tiles: DataFrame, rows_per_task: int) -> DataFrame:
-    cells = stage(cells)
+def _meet(cells: DataFrame, tiles: DataFrame, grid: Grid, rows_per_task: int) -> DataFrame:
     sizes = group_sizes(cells, list(KEY))
-    n_hot = sizes.where(F.col("n") > rows_per_task).count()
-    return spread_join(cells, tiles, sizes, n_hot, list(KEY), list(LOC), rows_per_task)
-
-
-def pruned_tiles(tiles: DataFrame, keys: DataFrame, n_keys: int, grid: Grid, bounds: dict[str, int]) -> DataFrame:
-    """Only tiles the coverage can use: key ranges as literals that reach the scan, touched
-    files as partition filters where the table has file columns, then the exact key set
-    before any tile is shuffled (left to the join itself when the set is large)."""
-    tiles = tiles.where(F.col("key_col").between(bounds["col0"], bounds["col1"]))
-    tiles = tiles.where(F.col("key_row").between(bounds["row0"], bounds["row1"]))
-    if {"file_col", "file_row"} <= set(tiles.columns) and grid.file_count <= MAX_FILE_LITERALS:
-        across = 360 // grid.file_deg
-        number = grid.file_of_key(F.col("key_row")) * F.lit(across) + grid.file_of_key(F.col("key_col"))
-        # at most one row per file of the grid
-        files = [row[0] for row in keys.select(number).distinct().collect()]
-        tiles = tiles.where((F.col("file_row") * F.lit(across) + F.col("file_col")).isin(files))
-    if n_keys <= BROADCAST_ROWS:
-        tiles = tiles.join(bounded_broadcast(keys.select(*KEY), n_keys), list(KEY), "left_semi")
-    return tiles
+    return spread_join(cells, pruned_tiles(tiles, sizes, grid), sizes, list(KEY), list(LOC), rows_per_task)
+
+
+def is_stacked(tiles: DataFrame) -> bool:
+    return "layer" not in tiles.columns
 
 
 def covered_values(
@@ -120,27 +161,56 @@ def covered_values(
 ) -> DataFrame:
     """One row per covered pixel with its location, key, cell number and layer values.
 
-    Layers are stacked once per key, then met by the coverage, so a tile moves once
-    however many locations share it. Segments crowded with locations are split over
-    several tasks. With `required`, pixels of keys lacking that layer are left out.
+    Long tiles are stacked once per key, stacked ones are taken as they are; then the coverage meets
+    them, so a tile is read once however many locations share it. Segments crowded with locations
+    are split over several tasks. With `required`, pixels of keys lacking that layer are left out.
     `carry` adds columns computed once per coverage row instead of once per pixel.
     """
     cells = stage(coverage_cells(locations, grid, rule))
+    return values_of(cells, tiles, layers, grid, required, carry, rows_per_task)
+
+
+def values_of(
+    cells: DataFrame,
+    tiles: DataFrame,
+    layers: list[str],
+    grid: Grid,
+    required: str | None = None,
+    carry: dict | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """`covered_values` of written coverage rows."""
+    keep = [*LOC, *KEY, *(carry or {})]
+    cells = cells.select(*LOC, *KEY, "runs", *[column.alias(name) for name, column in (carry or {}).items()])
+    if is_stacked(tiles):
+        return explode_runs(meet_stacked(cells, tiles, layers, grid, required, rows_per_task), layers, keep)
     keys = group_sizes(cells, list(KEY))
-    facts = keys.agg(
-        F.count(F.lit(1)).alias("keys"),
-        F.count_if(F.col("n") > rows_per_task).alias("hot"),
-        F.min("key_col").alias("col0"),
-        F.max("key_col").alias("col1"),
-        F.min("key_row").alias("row0"),
-        F.max("key_row").alias("row1"),
-    ).first()
-    bounds = {name: facts[name] if facts["keys"] else 0 for name in ("col0", "col1", "row0", "row1")}
-    useful = pruned_tiles(tiles, keys, facts["keys"], grid, bounds)
-    stack = join_layers(keys.select(*KEY), useful, layers)
+    low = keys.agg(*[f(k).alias(f"{f.__name__}_{k}") for f in (F.min, F.max) for k in KEY]).first()
+    for k in KEY:  # these reach the scan as literals; without keys they are NULL, and so is every comparison
+        tiles = tiles.where(F.col(k).between(F.lit(low[f"min_{k}"]), F.lit(low[f"max_{k}"])))
+    stack = join_layers(keys.select(*KEY), pruned_tiles(tiles, keys, grid), layers)
     if required is not None:
         stack = stack.where(F.col(required).isNotNull())
+    met = spread_join(cells, stack, keys, list(KEY), list(LOC), rows_per_task)
+    return explode_runs(met, layers, keep)
 
-    cells = cells.select(*LOC, *KEY, "runs", *[column.alias(name) for name, column in (carry or {}).items()])
-    met = spread_join(cells, stack, keys, facts["hot"], list(KEY), list(LOC), rows_per_task)
-    return explode_runs(met, layers, [*LOC, *KEY, *(carry or {})])
+
+def meet_stacked(
+    cells: DataFrame, stack: DataFrame, layers: list[str], grid: Grid, required: str | None, rows_per_task: int
+) -> DataFrame:
+    """Coverage rows with the layers of their key from a stacked table. The stored stack is neither
+    shuffled nor sorted: it streams past hash tables of the coverage, which was sent to the bucket
+    of its segment. A key with more rows than a task should hold is dealt out apart. Keys without a
+    stack keep their rows, with NULL layers, unless some layer is `required`."""
+    placed = cells.withColumn("segment", grid.segment(F.col("key_col"), F.col("key_row")))
+    sizes = group_sizes(placed, ["segment"])
+    low = sizes.agg(F.min("segment").alias("first"), F.max("segment").alias("last")).first()
+    held = stack.where(F.col("segment").between(F.lit(low["first"]), F.lit(low["last"]))).select("segment", *layers)
+    if required is not None:
+        held = held.where(F.col(required).isNotNull())
+    met = spread_join(placed, held, sizes, ["segment"], list(LOC), rows_per_task, hint="shuffle_hash")
+    if required is not None:
+        return met.drop("segment")
+    alone = placed.join(held.select("segment"), "segment", "left_anti")
+    nothing = [F.lit(None).cast(stack.schema[c].dataType).alias(c) for c in layers]
+    return met.unionByName(alone.select(*placed.columns, *nothing)).drop("segment")

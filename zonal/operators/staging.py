@@ -5,12 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A key set or salt table is broadcast up to this many rows (two ints and a count each,
-# some tens of MB as a hash relation); past it the plan uses a shuffle join.
-BROADCAST_ROWS = 1_000_000
+# A key with more than 1 / HOT_KEYS of all rows may be hot; there are at most HOT_KEYS of those.
+HOT_KEYS = 1000
 
 
 def staging_dir(spark: SparkSession) -> str:
@@ -33,53 +33,51 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_broadcast(df: DataFrame, rows: int | None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark for broadcast only when the counted rows are within the limit."""
-    return F.broadcast(df) if rows is not None and rows <= limit else df
-
-
 def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
     """Written table of rows per key; partial counts run before the shuffle."""
     return stage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
 
 
-def salts_of(sizes: DataFrame, keys: list[str], rows_per_task: int) -> DataFrame:
-    """Keys holding more than `rows_per_task` rows, with the number of salts each needs."""
-    salts = F.ceil(F.col("n") / F.lit(rows_per_task)).cast("int")
-    return sizes.where(F.col("n") > rows_per_task).select(*keys, salts.alias("salts"))
-
-
-def add_salt(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str], spread_by: list[str]) -> DataFrame:
-    """Add `salt`: 0 for ordinary keys, a hash of `spread_by` modulo the salts for hot ones."""
-    if n_hot == 0:
-        return df.withColumn("salt", F.lit(0))
-    salted = df.join(bounded_broadcast(hot, n_hot), keys, "left")
-    salt = F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col("salts"), F.lit(1)).cast("bigint")).cast("int")
-    return salted.withColumn("salt", salt).drop("salts")
-
-
-def replicate_for_salt(df: DataFrame, hot: DataFrame, n_hot: int, keys: list[str]) -> DataFrame:
-    """The other side of a salted join: one copy per salt for hot keys, one otherwise."""
-    copies = df.join(bounded_broadcast(hot, n_hot), keys, "left")
-    last = F.coalesce(F.col("salts"), F.lit(1)) - F.lit(1)
-    return copies.withColumn("salt", F.explode(F.sequence(F.lit(0), last))).drop("salts")
+def hot_keys(sizes: DataFrame, keys: list[str], rows_per_task: int) -> list[Row]:
+    """Keys with more rows than `rows_per_task` and than their share of all rows, with the number of
+    `salts` each needs. Shares add up to one, so there are at most HOT_KEYS of them and twice as
+    many salts in all, whatever the data: few enough for the driver and for a broadcast."""
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    share = max(rows_per_task, -(-total // HOT_KEYS))
+    salts = F.ceil(F.col("n") / F.lit(share)).cast("int")
+    return sizes.where(F.col("n") > share).select(*keys, salts.alias("salts")).collect()
 
 
 def spread_join(
     rows: DataFrame,
     once: DataFrame,
     sizes: DataFrame,
-    n_hot: int,
     keys: list[str],
     spread_by: list[str],
     rows_per_task: int,
+    hint: str = "merge",
 ) -> DataFrame:
-    """Inner join of `rows` to a side with few rows per key. Keys with more than
-    `rows_per_task` rows are dealt out to several tasks, each with its own copy of the
-    other side; without such keys it is an ordinary join on the keys."""
-    if n_hot:
-        hot = salts_of(sizes, keys, rows_per_task)
-        rows = add_salt(rows, hot, n_hot, keys, spread_by)
-        once = replicate_for_salt(once, hot, n_hot, keys)
-        return rows.join(once.hint("merge"), [*keys, "salt"]).drop("salt")
-    return rows.join(once.hint("merge"), keys)
+    """Inner join of `rows` to a side with few rows per key; `sizes` has the rows per key. Keys that
+    are not hot are joined where they lie, by the hinted join, and their side is neither copied nor
+    salted. Hot keys are a branch of their own: their rows are dealt out, and each share meets its
+    own copy of the other side."""
+    spark = rows.sparkSession
+    crowded = hot_keys(sizes, keys, rows_per_task)
+    if not crowded:
+        return _hinted(rows, once, keys, hint)
+    schema = T.StructType([*[sizes.schema[k] for k in keys], T.StructField("salts", T.IntegerType())])
+    hot = F.broadcast(spark.createDataFrame(crowded, schema))
+    cold = _hinted(rows.join(hot.select(*keys), keys, "left_anti"), once, keys, hint)
+    salt = F.pmod(F.xxhash64(*spread_by), F.col("salts").cast("bigint")).cast("int")
+    dealt = rows.join(hot, keys).withColumn("salt", salt).drop("salts")
+    # ranges of the hot keys are literals, which reach the scan of a sorted table
+    for k in keys:
+        values = [row[k] for row in crowded]
+        once = once.where(F.col(k).between(min(values), max(values)))
+    copies = once.join(hot, keys).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return cold.unionByName(dealt.join(copies.hint("merge"), [*keys, "salt"]).drop("salt"))
+
+
+def _hinted(rows: DataFrame, once: DataFrame, keys: list[str], hint: str) -> DataFrame:
+    # a hash join is built from the rows and streams past them the side that must not be sorted
+    return rows.hint("shuffle_hash").join(once, keys) if hint == "shuffle_hash" else rows.join(once.hint("merge"), keys)

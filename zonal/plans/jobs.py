@@ -13,7 +13,6 @@ from zonal.functions.grid import Grid
 from zonal.operators.aggregates import BUCKETS, dense_maps, loss_year_agg, sums_by_bucket, year_bucket, zonal_histogram
 from zonal.operators.coverage import LOC
 from zonal.operators.layers import ROWS_PER_TASK, covered_values
-from zonal.operators.staging import bounded_broadcast
 from zonal.plans.analyses import Analysis, Layers, needed_layers, standard_analyses
 from zonal.sources.locations import read_geojson
 from zonal.sources.results import write_results
@@ -27,7 +26,8 @@ def with_pixel_area(pixels: DataFrame, grid: Grid) -> DataFrame:
     grid, not once per pixel; the table has exactly `grid.rows` rows."""
     rows = pixels.sparkSession.range(grid.rows).select(F.col("id").cast("int").alias("key_row"))
     areas = rows.select("key_row", pixel_area_ha(grid, F.col("key_row")).alias("area"))
-    return pixels.join(bounded_broadcast(areas, grid.rows), "key_row")
+    # one small row per segment row of the grid: bounded whatever the data
+    return pixels.join(F.broadcast(areas), "key_row")
 
 
 def pixelwise_totals(

@@ -1,14 +1,16 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.shapes import TINY, frame, pixels, to_degrees
 from zonal import Grid, coverage_cells
-from zonal.operators.coverage import coverage_pixels
+from zonal.operators.coverage import coverage_pixels, explode_cell_map
 from zonal.sources import catalog as cat
+from zonal.sources import feature_collections
 from zonal.sources import locations as loc
 from zonal.sources.results import write_results
 
@@ -74,7 +76,7 @@ def test_geojson_loses_no_feature(spark, tmp_path, lines):
     [
         ({"type": "Polygon"}, "without coordinates"),
         ({"coordinates": [[[1, 2]]]}, "unsupported geometry type null"),
-        ({"type": "Polygon", "coordinates": [[["east", 2.0]]]}, ""),
+        ({"type": "Polygon", "coordinates": [[["east", 2.0]]]}, "unreadable coordinates|two numbers"),
         ({"type": "Polygon", "coordinates": [[[1.0], [2.0, 3.0], [4.0, 1.0]]]}, "two numbers"),
     ],
 )
@@ -85,6 +87,54 @@ def test_geojson_refuses_what_it_cannot_read(spark, tmp_path, geometry, message)
         loc.read_geojson(spark, str(path)).collect()
 
 
+def test_one_collection_feeds_many_tasks(spark, tmp_path):
+    """Braces, brackets, quotes and escapes in strings, other members around the features, one line
+    or many: cut anywhere, the features are those of a JSON parser."""
+    rng = random.Random(12)
+    strings = ["}", "{[", 'a"b', "\\", '\\"}', "é🙂", '"features":[{', "], }", ""]
+    given = []
+    for n in range(60):
+        x, y = rng.uniform(5, 600), rng.uniform(5, 300)
+        ring = to_degrees([(x, y), (x + 9, y), (x + 9, y + 7), (x, y)])
+        one = feature("".join(rng.choices(strings, k=3)), n, "Polygon", [ring])
+        one["properties"]["more"] = {"deep": [{"a": [1, {"b": "}"}]}, "]"]}
+        given.append(one)
+    around = {"crs": {"type": "name", "properties": {"name": "x"}}, "bbox": [1, [2]], "links": [{"features": [1]}, {}], "features": given}
+    around |= {"name": 'last "features":[{', "other": [{"type": "Feature"}]}
+    whole, pretty, none = tmp_path / "a.json", tmp_path / "b.json", tmp_path / "c.json"
+    text = json.dumps(around, ensure_ascii=False)
+    whole.write_text(text)
+    pretty.write_text(json.dumps({"features": given[:7]}, indent=2) + "\n\n")
+    none.write_text('{"features" : [ ], "type": "FeatureCollection"}')
+    want = sorted((f["properties"]["list_id"], f["properties"]["location_id"]) for f in given + given[:7])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        df = loc.read_geojson(spark, [str(p) for p in (whole, pretty, none)])
+        assert sorted((r["list_id"], r["location_id"]) for r in df.collect()) == want
+        ranges = feature_collections._pieces(spark, str(whole)).select("range").distinct().count()
+        assert ranges > 0.5 * whole.stat().st_size / 700
+        for cut in (30, len(text) // 2, len(text) - 2):
+            whole.write_text(text[:cut])
+            with pytest.raises(Exception, match="does not end|MALFORMED"):
+                loc.read_geojson(spark, str(whole)).collect()
+        none.write_text('{"features": [null, {"a": 1}]}')
+        with pytest.raises(Exception, match="unreadable text between the features|no features"):
+            loc.read_geojson(spark, str(none)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_geojson_to_cell_maps(spark, tmp_path):
+    path = tmp_path / "f.json"
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": features()}))
+    maps = loc.read_cell_map(spark, str(path), TINY)
+    cells = coverage_cells(loc.read_geojson(spark, str(path)), TINY)
+    n = F.aggregate("runs", F.lit(0), lambda t, run: t + run["i1"] - run["i0"])
+    names = ["list_id", "key_col", "key_row", "location_id"]
+    got = explode_cell_map(maps).select(*names, n.alias("n")).collect()
+    assert sorted(map(tuple, got)) == sorted((*[r[c] for c in names], r["n_pixels"]) for r in cells.collect())
+
+
 def test_geojson_without_features_fails(spark, tmp_path):
     path = tmp_path / "f.json"
     path.write_text(json.dumps(features()[0]))
@@ -152,6 +202,18 @@ def test_tile_listing_goes_by_prefix(spark):
     assert got == ["s3://t/00N_110E.tif", "s3://t/10N_010W.tif"]
 
 
+def test_tile_listing_looks_past_the_end_of_a_range(spark):
+    rng = random.Random(3)
+    letters = ["".join(rng.choices("abé/", k=rng.randint(0, 6))) for _ in range(400)]
+    uris, objects = letters[:150] + [None, ""], letters[150:] + [None]
+    asked = spark.createDataFrame([(u, 7) for u in uris], "uri string, other int")
+    inventory = spark.createDataFrame([(o,) for o in objects * 2], "object string")
+    got = sorted(r["uri"] for r in cat.existing_tiles(asked, inventory).collect())
+    assert got == sorted(u for u in uris if u is not None and any(o is not None and o.startswith(u) for o in objects))
+    assert cat.existing_tiles(asked, inventory.where("false")).collect() == []
+    assert cat.existing_tiles(asked.where("false"), inventory).collect() == []
+
+
 def test_area_files(spark):
     df = frame(spark, [(1, -1, [[(15.2, 12.3), (45.4, 12.3), (45.4, 18.7), (15.2, 18.7)]])])
     assert sorted(map(tuple, cat.area_files(df, TINY).collect())) == [(0, 0), (1, 0), (2, 0)]

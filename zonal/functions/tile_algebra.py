@@ -32,8 +32,9 @@ def tile_max(tile: Column) -> Column:
 
 
 def criterion_tile(value: Column, criterion: Column, threshold: float) -> Column:
-    """1 where `value` > 0 and `criterion` > threshold, else 0; NoData if either is."""
-    return local_multiply(local_greater(value, 0), local_greater(criterion, threshold))
+    """1 where `value` > 0 and `criterion` > threshold, else 0; NoData if either is. One pass over
+    the cells, with no tile in between."""
+    return F.zip_with(value, criterion, lambda v, c: ((v > 0).cast("int") * (c > F.lit(threshold)).cast("int")))
 
 
 def clean_nan(value: Column) -> Column:

@@ -129,6 +129,11 @@ def _spans(edges: DataFrame, width: int, height: int, rule: str, band: int = BAN
     spans = _inside(pieces, width, height, band)
     if rule == "all_touched":
         spans = spans.unionByName(_touched(pieces, width, height, band))
+    return disjoint_spans(spans, width)
+
+
+def disjoint_spans(spans: DataFrame, width: int) -> DataFrame:
+    """The union of spans of a location, row by row, by a running total of their steps."""
     ends = F.array(
         F.struct(F.col("c0").alias("c"), F.lit(1).cast("bigint").alias("weight")),
         F.struct(F.col("c1").alias("c"), F.lit(-1).cast("bigint").alias("weight")),

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonal.operators.aggregates import BUCKETS
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -81,6 +85,18 @@ def needed_layers(analyses: list[Analysis], loss: str) -> list[str]:
     return list(dict.fromkeys(wanted))
 
 
+def contributing(analyses: list[Analysis], loss: str, strict: bool = False) -> Column:
+    """Pixels that add to some analysis. Loss is rare, so most pixels stop here and never
+    reach the aggregation; `strict` also keeps codes it has to complain about. A pixel without
+    a loss code still adds to the analyses that are not split by year."""
+    lost = F.col(loss).isNotNull()
+    # a NULL layer fails its criterion; it must not turn the whole condition to NULL
+    wanted = [F.coalesce(a.criterion() & lost if a.yearly else a.criterion(), F.lit(False)) for a in analyses]
+    if strict:
+        wanted.append(lost & ~F.col(loss).between(0, BUCKETS - 1))
+    return reduce(or_, wanted)
+
+
 def add_columns(pixels: DataFrame, analyses: list[Analysis], area: str = "area") -> DataFrame:
     """One content column per analysis beside the pixel columns."""
     return pixels.withColumns({a.name: a.content(F.col(area)) for a in analyses})

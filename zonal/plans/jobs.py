@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +10,7 @@ from zonal.functions.grid import Grid
 from zonal.operators.aggregates import BUCKETS, dense_maps, loss_year_agg, sums_by_bucket, year_bucket, zonal_histogram
 from zonal.operators.coverage import LOC
 from zonal.operators.layers import ROWS_PER_TASK, covered_values
-from zonal.plans.analyses import Analysis, Layers, needed_layers, standard_analyses
+from zonal.plans.analyses import Analysis, Layers, contributing, needed_layers, standard_analyses
 from zonal.sources.locations import read_geojson
 from zonal.sources.results import write_results
 from zonal.sources.tiles import read_tiles
@@ -44,19 +41,7 @@ def scalar_totals(pixels: DataFrame, analyses: list[Analysis], by: list[str] = B
     return named.groupBy(*by).agg(*[F.coalesce(F.sum(a.name), F.lit(0.0)).alias(a.name) for a in analyses])
 
 
-def _contributing(analyses: list[Analysis], loss: str, strict: bool) -> Column:
-    """Pixels that add to some analysis. Loss is rare, so most pixels stop here and never
-    reach the aggregation; `strict` also keeps codes it has to complain about. A pixel without
-    a loss code still adds to the analyses that are not split by year."""
-    lost = F.col(loss).isNotNull()
-    # a NULL layer fails its criterion; it must not turn the whole condition to NULL
-    wanted = [F.coalesce(a.criterion() & lost if a.yearly else a.criterion(), F.lit(False)) for a in analyses]
-    if strict:
-        wanted.append(lost & ~F.col(loss).between(0, BUCKETS - 1))
-    return reduce(or_, wanted)
-
-
-def _required(analyses: list[Analysis], loss: str) -> str | None:
+def required_layer(analyses: list[Analysis], loss: str) -> str | None:
     """The loss layer where nothing can be found without it."""
     return loss if all(a.yearly for a in analyses) else None
 
@@ -90,10 +75,10 @@ def loss_by_year_pixelwise(
         needed_layers(analyses, layers.loss),
         grid,
         rule,
-        required=_required(analyses, layers.loss),
+        required=required_layer(analyses, layers.loss),
         carry={"area": pixel_area_ha(grid, F.col("key_row"))},
     )
-    pixels = pixels.where(_contributing(analyses, layers.loss, strict))
+    pixels = pixels.where(contributing(analyses, layers.loss, strict))
     areas = {a.name: a.content(F.col("area")) for a in analyses}
     long = sums_by_bucket(pixels, BY, year_bucket(F.col(layers.loss), strict), areas)
     return _every_location(long, locations, analyses)
@@ -115,23 +100,27 @@ def loss_by_year_histogram(
     analyses = standard_analyses(layers) if analyses is None else analyses
     if require_aoi:
         _check_areas_of_interest(locations)
-    names = [a.name for a in analyses]
     pixels = covered_values(
         locations,
         tiles,
         needed_layers(analyses, layers.loss),
         grid,
         rule,
-        required=_required(analyses, layers.loss),
+        required=required_layer(analyses, layers.loss),
         rows_per_task=rows_per_task,
     )
-    counts = zonal_histogram(
-        pixels.where(_contributing(analyses, layers.loss, strict)),
-        [*BY, "key_row"],
-        F.col(layers.loss),
-        {a.name: a.criterion() for a in analyses},
-        strict,
-    )
+    return totals_of_counts(pixel_counts(pixels, analyses, layers.loss, strict), locations, analyses, grid)
+
+
+def pixel_counts(pixels: DataFrame, analyses: list[Analysis], loss: str, strict: bool = False) -> DataFrame:
+    """Pixel rows to counts per location, segment row, year slot and analysis."""
+    found = pixels.where(contributing(analyses, loss, strict))
+    return zonal_histogram(found, [*BY, "key_row"], F.col(loss), {a.name: a.criterion() for a in analyses}, strict)
+
+
+def totals_of_counts(counts: DataFrame, locations: DataFrame, analyses: list[Analysis], grid: Grid) -> DataFrame:
+    """Counts per location, segment row and year slot to the maps and areas of every location."""
+    names = [a.name for a in analyses]
     scaled = with_pixel_area(counts, grid).select(*BY, "bucket", *[(F.col(n) * F.col("area")).alias(n) for n in names])
     long = scaled.groupBy(*BY, "bucket").agg(*[F.sum(n).alias(n) for n in names])
     return _every_location(long, locations, analyses)

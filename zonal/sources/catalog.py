@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonal.functions.grid import Grid
 from zonal.operators.coverage import segment_cover
+from zonal.operators.staging import stage
 
 LATEST = "latest"
 
-# Most distinct URI lengths `existing_tiles` will look up: one per template, so tens.
-MAX_LENGTHS = 1000
-
 
 def read_catalog(spark: SparkSession, path: str, flavor: str) -> DataFrame:
     """A JSON catalogue `{"layers": [{"name", "source_uri"}, ...]}` with its entry order."""
@@ -67,14 +65,23 @@ def area_files(locations: DataFrame, grid: Grid) -> DataFrame:
 def existing_tiles(uris: DataFrame, inventory: DataFrame) -> DataFrame:
     """Rows of `uris` for which some inventory `object` starts with the URI.
 
-    A template fills to one length, so the prefix test is an equality on objects cut
-    to the lengths that occur: an ordinary semi-join.
+    In sorted order the first object not before a URI starts with it if any object does. So URIs
+    and objects are range-sorted together, each URI looks ahead within its range, and past its end
+    to the next object of a later range: one row per range that every other can see.
     """
-    lengths = [row[0] for row in uris.select(F.length("uri")).distinct().limit(MAX_LENGTHS + 1).collect()]
-    if len(lengths) > MAX_LENGTHS:
-        raise ValueError(f"more than {MAX_LENGTHS} different URI lengths; list the layers in smaller sets")
-    cuts: list[Column] = [F.when(F.length("object") >= n, F.substring("object", 1, n)) for n in lengths]
-    if not cuts:
-        return uris
-    heads = inventory.select(F.explode(F.array(*cuts)).alias("uri")).where(F.col("uri").isNotNull())
-    return uris.join(heads, "uri", "left_semi")
+    kind, text = F.lit(0).alias("kind"), F.col("uri").alias("text")
+    both = uris.select("uri").distinct().select(text, kind).unionByName(
+        inventory.select(F.col("object").alias("text"), F.lit(1).alias("kind")).distinct()
+    )
+    sorted_ = both.where(F.col("text").isNotNull()).repartitionByRange("text", "kind")
+    placed = stage(sorted_.withColumn("part", F.spark_partition_id()))
+    firsts = placed.where("kind = 1").groupBy("part").agg(F.min("text").alias("first"))
+    parts = placed.select("part").distinct()
+    # a row per range of the sort, as many as there are shuffle partitions
+    later = parts.join(F.broadcast(firsts.withColumnRenamed("part", "other")), F.col("other") > F.col("part"), "left")
+    later = later.groupBy("part").agg(F.min("first").alias("beyond"))
+    ahead = Window.partitionBy("part").orderBy("text", "kind").rowsBetween(1, Window.unboundedFollowing)
+    following = F.first(F.when(F.col("kind") == 1, F.col("text")), ignorenulls=True).over(ahead)
+    seen = placed.withColumn("following", following).where("kind = 0").join(F.broadcast(later), "part")
+    found = seen.where(F.startswith(F.coalesce("following", "beyond"), F.col("text")))
+    return uris.join(found.select(F.col("text").alias("uri")), "uri", "left_semi")

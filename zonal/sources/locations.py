@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonal.operators.coverage import LOC
+from zonal.functions.grid import Grid
+from zonal.operators.coverage import LOC, cell_map, coverage_cells
+from zonal.sources.feature_collections import feature_texts
 
 RINGS = "array<array<struct<x:double,y:double>>>"
 AOI_ID = -1
@@ -27,8 +29,8 @@ def read_geojson(
 ) -> DataFrame:
     """GeoJSON Polygon and MultiPolygon features to one row per polygon part.
 
-    A FeatureCollection is one JSON document and so one task per file; give many files,
-    or one feature per line (`one_feature_per_line`), which Spark splits at any size.
+    Files are FeatureCollections, or have one feature per line (`one_feature_per_line`). Either way
+    Spark reads them in byte ranges: one large file feeds as many tasks as many small ones.
 
     No feature is lost: one with a null geometry, or without any part, is a row without rings,
     which covers nothing and is still reported. Anything that cannot be read fails the query: a
@@ -37,21 +39,24 @@ def read_geojson(
     shape_type = T.StructType().add("type", "string").add("coordinates", "string")
     feature = T.StructType().add("type", "string").add("geometry", shape_type)
     feature = feature.add("properties", T.StructType.fromDDL(properties))
-    reader = spark.read.option("mode", "FAILFAST")
     if one_feature_per_line:
-        lines = reader.schema(feature).json(paths)
+        lines = spark.read.option("mode", "FAILFAST").schema(feature).json(paths)
         features = lines.select(F.struct("geometry", "properties").alias("feature"))
     else:
-        documents = reader.schema(T.StructType().add("features", T.ArrayType(feature))).option("multiLine", True).json(paths)
-        held = F.coalesce("features", F.raise_error(F.lit("no features in a GeoJSON document")))
-        features = documents.select(F.explode(held).alias("feature"))
+        texts = feature_texts(spark, paths)
+        features = texts.select(F.from_json("text", feature, {"mode": "FAILFAST"}).alias("feature"))
     shape, raw = F.col("feature.geometry.type"), F.col("feature.geometry.coordinates")
     raw = F.coalesce(raw, F.raise_error(F.lit("geometry without coordinates")))
-    polygon, strict = "array<array<array<double>>>", {"mode": "FAILFAST"}
+    polygon = "array<array<array<double>>>"
+
+    def read(schema: str) -> Column:
+        # the parser's own strict mode fails on a NULL pointer here; what it cannot read is NULL without it
+        return F.coalesce(F.from_json(raw, schema), F.raise_error(F.concat(F.lit("unreadable coordinates "), F.substring(raw, 1, 100))))
+
     parts = (
         F.when(F.col("feature.geometry").isNull(), F.lit(None))
-        .when(shape == "Polygon", F.array(F.from_json(raw, polygon, strict)))
-        .when(shape == "MultiPolygon", F.from_json(raw, f"array<{polygon}>", strict))
+        .when(shape == "Polygon", F.array(read(polygon)))
+        .when(shape == "MultiPolygon", read(f"array<{polygon}>"))
         .otherwise(F.raise_error(F.concat(F.lit("unsupported geometry type "), F.coalesce(shape, F.lit("null")))))
     )
     exploded = features.select("feature.properties.*", F.explode_outer(parts).alias("part"))
@@ -59,6 +64,20 @@ def read_geojson(
     return exploded.select(*[c for c in exploded.columns if c != "part"], rings.alias("rings"))
 
 
+def read_cell_map(
+    spark: SparkSession,
+    paths: str | list[str],
+    grid: Grid,
+    value: str = "runs",
+    rule: str = "center",
+    properties: str = "list_id string, location_id bigint",
+    one_feature_per_line: bool = False,
+) -> DataFrame:
+    """GeoJSON straight to cell maps: read, split by segment, and gathered by list and segment."""
+    locations = read_geojson(spark, paths, properties, one_feature_per_line)
+    return cell_map(coverage_cells(locations, grid, rule), grid, value)
+
+
 def _to_rings(part: Column) -> Column:
     def number(p: Column, place: int) -> Column:
         return F.coalesce(F.get(p, F.lit(place)), F.raise_error(F.lit("a position needs two numbers")))

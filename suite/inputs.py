@@ -6,11 +6,17 @@ an order is a tile, a line item is a pixel, a page is a catalogue entry.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonal import Grid, Layers
+from zonal.functions.grid import KEY
+from zonal.operators import run_tiles
+from zonal.operators.staging import staging_dir
 from zonal.plans.jobs import with_pixel_area
+from zonal.sources.stacks import read_stack, write_stack
 
 WORLD = Grid()
 # Same pixels, blocks of 10 x 10: one order makes one such tile.
@@ -92,6 +98,44 @@ def hourglasses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diamonds(spark, sf_dir).select("list_id", "location_id", F.array(ring).alias("rings"))
 
 
+def spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squares of half-width w with a spike: the ring goes out along a slanted line and back. For
+    every third the ring is that line alone, and has no area at all."""
+
+    def corner(dx, dy) -> Column:
+        return F.struct(
+            ((F.col("cx") + 0.25 + dx) / 4000.0 - 180.0).alias("x"), (90.0 - (F.col("cy") + 0.125 + dy) / 4000.0).alias("y")
+        )
+
+    w = F.col("w").cast("double")
+    tip = corner(w * 3 + 1.5, w + 7.0)
+    square = F.array(corner(-w, -w), corner(w, -w), corner(w, w), tip, corner(w, w), corner(-w, w))
+    line = F.array(corner(w, w), tip, corner(w, w))
+    ring = F.when(F.col("cx") % 3 == 0, line).otherwise(square)
+    return diamonds(spark, sf_dir).select("list_id", "location_id", F.array(ring).alias("rings"))
+
+
+def crowd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers as diamonds in a handful of segments."""
+    key = F.col("c_custkey")
+    placed = table(spark, sf_dir, "customer").select(
+        (key % LISTS).alias("list_id"),
+        key.alias("location_id"),
+        (F.lit(COL0 * 10 + 8) + key % 7).alias("cx"),
+        (F.lit(ROW0 * 10 + 8) + key % 5).alias("cy"),
+        (3 + key % 3).alias("w"),
+    )
+
+    def corner(dx: int, dy: int) -> Column:
+        return F.struct(
+            ((F.col("cx") + 0.25 + F.col("w") * dx) / 4000.0 - 180.0).alias("x"),
+            (90.0 - (F.col("cy") + 0.125 + F.col("w") * dy) / 4000.0).alias("y"),
+        )
+
+    ring = F.array(*[corner(dx, dy) for dx, dy in [(0, -1), (1, 0), (0, 1), (-1, 0)]])
+    return placed.select("list_id", "location_id", F.array(ring).alias("rings"))
+
+
 # -- tiles -------------------------------------------------------------------
 
 
@@ -131,6 +175,63 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loss.unionByName(density).unionByName(primary).unionByName(peat)
 
 
+def stack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tiles written as a stacked table, and read back."""
+    path = new_path(spark, "stack")
+    write_stack(tiles(spark, sf_dir), path, SMALL, STACK, buckets=spark.sparkContext.defaultParallelism)
+    return read_stack(spark, path)
+
+
+def run_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stacked table with its tiles as runs."""
+    held = stack(spark, sf_dir)
+    return held.select("segment", *KEY, *[run_tiles.to_runs(F.col(c)).alias(c) for c in STACK])
+
+
+def land_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tile of land cover codes per order."""
+    codes = F.array(*[F.lit(c) for c in LAND_COVER_CODES])
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    first = (F.col("k") % len(LAND_COVER_CODES)).cast("int")
+    orders = orders.repartition(spark.sparkContext.defaultParallelism, "k")
+    return _tile(orders, "land", lambda i: F.get(codes, (first + i) % len(LAND_COVER_CODES)))
+
+
+# -- files -------------------------------------------------------------------
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{staging_dir(spark)}/suite-{name}-{uuid.uuid4().hex}"
+
+
+def geojson(spark: SparkSession, sf_dir: str) -> str:
+    """The path of one collection on one line: a feature per diamond, with braces in its strings."""
+    rings = F.transform("rings", lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
+    properties = F.struct("list_id", "location_id", F.lit('a "}" in {[text').alias("note"))
+    geometry = F.struct(F.lit("Polygon").alias("type"), rings.alias("coordinates"))
+    text = F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), geometry.alias("geometry")))
+    features = locations(spark, sf_dir).select(F.lit(1).alias("place"), F.xxhash64("location_id", "rings").alias("n"), text.alias("value"))
+    first = features.agg(F.min("n")).first()[0]
+    features = features.withColumn("value", F.concat(F.when(F.col("n") == first, F.lit("")).otherwise(F.lit(",")), "value"))
+    ends = [(0, 0, '{"type":"FeatureCollection","features":['), (2, 0, "]}")]
+    whole = features.unionByName(spark.createDataFrame(ends, "place int, n bigint, value string"))
+    path = new_path(spark, "geojson")
+    whole.coalesce(1).sortWithinPartitions("place", "n").select("value").write.option("lineSep", " ").text(path)
+    return path
+
+
+def catalog_file(spark: SparkSession, sf_dir: str, flavor: str) -> str:
+    """The path of a JSON catalogue of one flavour, in the order of its entries."""
+    entries = catalog(spark, sf_dir).where(F.col("flavor") == flavor).select("pos", F.to_json(F.struct("name", "source_uri")).alias("value"))
+    first = entries.agg(F.min("pos")).first()[0]
+    entries = entries.withColumn("value", F.concat(F.when(F.col("pos") == first, F.lit('{"layers":[')).otherwise(F.lit(",")), "value"))
+    end = entries.agg(F.max("pos")).first()[0]
+    whole = entries.unionByName(spark.createDataFrame([(end + 1, "]}")], "pos bigint, value string"))
+    path = new_path(spark, "catalog")
+    whole.coalesce(1).sortWithinPartitions("pos").select("value").write.text(path)
+    return path
+
+
 # -- pixels ------------------------------------------------------------------
 
 

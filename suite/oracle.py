@@ -188,6 +188,30 @@ ORACLE["fcd_histogram"] = yearly(f"{PIX}, {VALUED}", "valued", "poly", NAMES, CR
 ORACLE["fcd_polygons_pixelwise"] = ORACLE["fcd_histogram"]
 ORACLE["fcd_histogram_all_touched"] = yearly(f"{TOUCHED_PIX}, {VALUED}", "valued", "poly", NAMES, CRITERIA)
 
+for same in ("fcd_stacked", "fcd_two_level", "fcd_prefix", "results_json"):
+    ORACLE[same] = ORACLE["fcd_histogram"]
+
+CROWD = """
+poly as (
+  select c_custkey % 25 as list_id, c_custkey as location_id, 760008 + c_custkey % 7 as cx, 180008 + c_custkey % 5 as cy,
+    3 + c_custkey % 3 as w, 0 as hole from customer)"""
+ORACLE["fcd_crowded"] = f"""with {PIX.replace(POLY, CROWD)}, {VALUED},
+slots as (select list_id, b from (select distinct list_id from poly) cross join range(32) t(b))
+select s.list_id, s.b as bucket, {", ".join(
+    f"round(coalesce(sum(case when {c} then area end), 0e0), 4) as {n}" for n, c in zip(NAMES, CRITERIA)
+)}
+from slots s left join valued v on v.list_id = s.list_id and v.loss = s.b group by 1, 2"""
+
+LAND_CODE = f"[{', '.join(map(str, LAND_COVER_CODES))}][1 + (o_orderkey + i) % {len(LAND_COVER_CODES)}]"
+LANDED = f"""{PIX},
+landed as (
+  select list_id, location_id, {LAND_CODE}::bigint as code, {area_ha("90e0 - (key_row*2 + 1)*10/8000e0")} as area
+  from pix join orders on 76000 + o_orderkey % 400 = key_col and 18000 + o_orderkey // 400 = key_row)"""
+ORACLE["area_by_class_polygons"] = f"""with {LANDED}
+select list_id, location_id, {case("code", LEGENDS["idn_land_cover_2017"][0]["pro"], "")} as label, round(sum(area), 5) as area
+from landed group by 1, 2, 3"""
+ORACLE["area_by_class_lists"] = f"with {LANDED} select list_id, code, round(sum(area), 4) as area from landed group by 1, 2"
+
 EXTENTS = {
     "tree_cover_extent_total": "density > 30",
     "tree_cover_extent_primary_forest": "density > 30 and prim > 0",
@@ -247,6 +271,8 @@ select list_id, location_id, key_col, key_row, loss as bucket, count(*) as n,
   count(*) filter (where density > 30) as n_dense
 from valued where loss is not null group by 1, 2, 3, 4, 5"""
 
+ORACLE["zonal_prefix"] = ORACLE["zonal_histogram"]
+
 # -- grid -----------------------------------------------------------------------------
 
 ORACLE["pixel_area"] = f"""with {pt()}, {KEYED}
@@ -278,6 +304,8 @@ ORACLE["locations_scan"] = f"""with {POLY}
 select list_id, location_id, count(*) as n_parts, sum(case when hole > 0 then 2 else 1 end)::bigint as n_rings
 from poly group by 1, 2"""
 
+ORACLE["locations_geojson"] = ORACLE["locations_scan"]
+
 ORACLE["vertex_counts"] = f"""with {POLY}
 select list_id, location_id, sum(case when hole > 0 then 10 else 5 end)::bigint as n from poly group by 1, 2"""
 
@@ -308,6 +336,37 @@ from pix group by 1, 2, 3, 4"""
 ORACLE["coverage_all_touched"] = f"""with {TOUCHED_PIX}
 select list_id, location_id, key_col, key_row, count(*) as n_pixels from pix group by 1, 2, 3, 4"""
 
+def spiked(size: int) -> str:
+    """Cells of `size` pixels that share a point with a square or its spike: the square as a box,
+    the spike as a line that has corners of the cell on both sides."""
+    return (
+        POLY
+        + f""",
+lines as (
+  select *, cx % 3 = 0 as bare, cx + 0.25e0 + w as x0, cy + 0.125e0 + w as y0, cx + 0.25e0 + 3*w + 1.5e0 as x1, cy + 0.125e0 + w + 7 as y1
+  from poly),
+cand as (select *, unnest(range((cx - w - 1)//{size}, (cx + 3*w + 3)//{size} + 1)) as c from lines),
+cand2 as (select *, unnest(range((cy - w - 1)//{size}, (cy + w + 8)//{size} + 1)) as r from cand),
+sides as (
+  select *, (x1 - x0)*(r*{size} - y0) - (y1 - y0)*(c*{size} - x0) as a, (x1 - x0)*(r*{size} - y0) - (y1 - y0)*((c + 1)*{size} - x0) as b,
+    (x1 - x0)*((r + 1)*{size} - y0) - (y1 - y0)*(c*{size} - x0) as d, (x1 - x0)*((r + 1)*{size} - y0) - (y1 - y0)*((c + 1)*{size} - x0) as e
+  from cand2),
+touch as (
+  select distinct list_id, location_id, r, c from sides
+  where (not bare and (c + 1)*{size} >= cx + 0.25e0 - w and c*{size} <= x0 and (r + 1)*{size} >= cy + 0.125e0 - w and r*{size} <= y0)
+    or ((c + 1)*{size} >= x0 and c*{size} <= x1 and (r + 1)*{size} >= y0 and r*{size} <= y1
+      and least(a, b, d, e) <= 0 and greatest(a, b, d, e) >= 0))"""
+    )
+
+
+ORACLE["coverage_spikes"] = f"""with {spiked(1)}
+select list_id, location_id, c // 10 as key_col, r // 10 as key_row, count(*) as n_pixels from touch group by 1, 2, 3, 4"""
+
+ORACLE["spikes_cover"] = f"with {spiked(10)} select list_id, location_id, c as key_col, r as key_row from touch"
+
+ORACLE["two_level_cover"] = f"""with {PIX}
+select list_id, location_id, key_col, key_row, count(*) as n_pixels from pix group by 1, 2, 3, 4"""
+
 ORACLE["coverage_pixels"] = f"""with {PIX}
 select list_id, location_id, r, count(*) as n, sum(c)::bigint as sum_c from pix group by 1, 2, 3"""
 
@@ -320,7 +379,7 @@ ORACLE["covered_pixels"] = f"with {PIX} select list_id, count(*) as n from pix g
 ORACLE["cell_map_explode"] = f"""with {PIX}
 select list_id, key_col, key_row, location_id, count(*) as n from pix group by 1, 2, 3, 4"""
 
-ORACLE["cell_map_masks"] = ORACLE["cell_map_explode"]
+ORACLE["cell_map_masks"] = ORACLE["cell_map_geojson"] = ORACLE["cell_map_explode"]
 
 # -- tiles -------------------------------------------------------------------------------
 
@@ -336,6 +395,18 @@ long as (
 
 ORACLE["tile_scan"] = f"with {LONG} select layer, key_col, key_row, count(v) as n_valid from long group by 1, 2, 3"
 
+ORACLE["stored_tile_scan"] = ORACLE["tile_scan"]
+
+ORACLE["stacked_tile_scan"] = f"""with {CELL}
+select key_col, key_row, count(loss) as n_0, count(density) as n_1, count(prim) as n_2, count(peat) as n_3 from cell group by 1, 2"""
+
+ORACLE["tile_coverage_mask"] = f"""with {PIX}, {VALUED}
+select list_id, location_id, key_col, key_row, sum(loss)::bigint as total, count(loss) as n
+from valued where loss is not null group by 1, 2, 3, 4"""
+
+ORACLE["tile_runs_max"] = f"""with {CELL}
+select key_col, key_row, max(loss) as max_0, max(density) as max_1, max(prim) as max_2, max(peat) as max_3 from cell group by 1, 2"""
+
 ORACLE["tile_max"] = f"with {LONG} select layer, key_col, key_row, max(v) as max_cell from long group by 1, 2, 3"
 
 
@@ -349,6 +420,12 @@ ORACLE["tile_local_greater"] = per_tile("case when loss > 12 then 1 when loss is
 ORACLE["tile_mask"] = per_tile("case when loss is not null then density end")
 ORACLE["tile_mask_by_value"] = per_tile("case when prim <> 0 then density end")
 
+for name in ("multiply", "greater"):
+    ORACLE[f"tile_runs_{name}"] = ORACLE[f"tile_local_{name}"]
+for name in ("mask", "mask_by_value"):
+    ORACLE[f"tile_runs_{name}"] = ORACLE[f"tile_{name}"]
+ORACLE["tile_runs_criterion"] = per_tile("case when loss > 0 and peat > 0 then 1 when loss is not null and peat is not null then 0 end")
+
 ORACLE["criterion_tiles"] = f"""with {CELL}
 select key_col, key_row, count(*) filter (where loss > 0 and density > 30) as dense30,
   count(*) filter (where loss > 0 and density > 90) as dense90, count(*) filter (where loss > 0 and prim > 0) as in_primary
@@ -378,6 +455,11 @@ sums as (select key_col, key_row, sum(peat)::bigint as tile_sum from cell where
 select list_id, location_id, p.key_col, p.key_row, count(*) as n_pixels, max(tile_sum) as tile_sum
 from pix p join sums s on s.key_col = p.key_col and s.key_row = p.key_row group by 1, 2, 3, 4"""
 
+ORACLE["locations_with_tiles_left"] = f"""with {PIX}, {CELL},
+sums as (select key_col, key_row, sum(peat)::bigint as tile_sum from cell where has_peat group by 1, 2)
+select list_id, location_id, p.key_col, p.key_row, count(*) as n_pixels, max(tile_sum) as tile_sum
+from pix p left join sums s on s.key_col = p.key_col and s.key_row = p.key_row group by 1, 2, 3, 4"""
+
 ORACLE["aoi_tile_filter"] = f"""with {touched(10)}, {LONG}
 select layer, key_col, key_row, coalesce(sum(v), 0)::bigint as total from long
 where exists (select 1 from touch where location_id = -1 and c = key_col and r = key_row) group by 1, 2, 3"""
@@ -388,6 +470,8 @@ ORACLE["catalog_resolve"] = f"""with {CATALOG},
 ranked as (select *, row_number() over (partition by name order by pos) as rn from cat where flavor = 'pro')
 select name, source_uri from ranked where rn = 1"""
 
+ORACLE["catalog_file"] = ORACLE["catalog_resolve"].replace("flavor = 'pro'", "flavor = 'default'")
+
 ORACLE["catalog_latest"] = f"""with {CATALOG},
 newest as (select name, 'v' || max(page_id) as version from cat0 group by 1)
 select flavor, pos, cat.name, replace(source_uri, 'latest', version) as source_uri from cat join newest n on n.name = cat.name"""

@@ -18,12 +18,15 @@ from zonal.functions.grid import KEY, extent_ring, grid_id_to_bounds, point_grid
 from zonal.operators import aggregates as agg
 from zonal.operators import coverage as cov
 from zonal.operators import layers as lay
-from zonal.operators import legends
+from zonal.operators import legends, run_tiles
+from zonal.operators.staging import stage
+from zonal.operators.two_level import two_level_cells
 from zonal.plans import analyses as plans
-from zonal.plans import jobs
+from zonal.plans import classes, jobs, summaries
 from zonal.sources import catalog as cat
 from zonal.sources import locations as loc
-from zonal.sources.tiles import tile_summary
+from zonal.sources.results import write_results
+from zonal.sources.tiles import read_tiles, tile_summary, write_tiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,6 +112,76 @@ def fcd_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(agg.map_rows(totals, [*BY, *areas], yearly), [*yearly, *areas])
 
 
+@query
+def fcd_stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report from a stacked table, whose cells stay in their buckets."""
+    names = [a.name for a in plans.standard_analyses()]
+    totals = jobs.loss_by_year_histogram(inputs.locations(spark, sf_dir), inputs.stack(spark, sf_dir), SMALL)
+    return rounded(agg.map_rows(totals, BY, names), names)
+
+
+@query
+def fcd_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report from summaries of whole segments, and cells along borders."""
+    analyses = plans.standard_analyses()
+    names, held, path = [a.name for a in analyses], inputs.stack(spark, sf_dir), inputs.new_path(spark, "summaries")
+    summaries.write_summaries(held, path, SMALL, analyses, LAYERS.loss)
+    made = summaries.read_summaries(spark, path, analyses)
+    totals = summaries.loss_by_year_two_level(inputs.locations(spark, sf_dir), held, made, SMALL)
+    return rounded(agg.map_rows(totals, BY, names), names)
+
+
+@query
+def fcd_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report from prefix sums, without reading a cell."""
+    analyses = plans.standard_analyses()
+    names, held, path = [a.name for a in analyses], inputs.stack(spark, sf_dir), inputs.new_path(spark, "prefixes")
+    summaries.write_prefixes(held, path, SMALL, analyses, LAYERS.loss)
+    made = summaries.read_prefixes(spark, path, analyses)
+    totals = summaries.loss_by_year_prefix(inputs.locations(spark, sf_dir), held, made, SMALL)
+    return rounded(agg.map_rows(totals, BY, names), names)
+
+
+@query
+def fcd_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All locations in a few segments: hot keys are dealt out. Summed by list."""
+    analyses = plans.standard_analyses()
+    names = [a.name for a in analyses]
+    totals = jobs.loss_by_year_histogram(inputs.crowd(spark, sf_dir), inputs.tiles(spark, sf_dir), SMALL, rows_per_task=64)
+    rows = agg.map_rows(totals, BY, names)
+    return rounded(rows.groupBy("list_id", "bucket").agg(*[F.sum(n).alias(n) for n in names]), names, 4)
+
+
+@query
+def area_by_class_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hectares of every land cover class in every location, from maps of its codes."""
+    areas = classes.class_areas(inputs.locations(spark, sf_dir), inputs.land_tiles(spark, sf_dir), "land", SMALL)
+    held = classes.class_maps(areas).select(*BY, F.explode("areas").alias("code", "area"))
+    return rounded(classes.labelled_areas(held, "idn_land_cover_2017", "pro"), ["area"])
+
+
+@query
+def area_by_class_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same per list and code, as a sum of maps."""
+    areas = classes.class_areas(inputs.locations(spark, sf_dir), inputs.land_tiles(spark, sf_dir), "land", SMALL)
+    summed = classes.add_class_maps(classes.class_maps(areas), ["list_id"])
+    return rounded(summed.select("list_id", F.explode("areas").alias("code", "area")), ["area"], 4)
+
+
+@query
+def results_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report written as JSON, with map keys as text, and read back."""
+    names = [a.name for a in plans.standard_analyses()]
+    totals = jobs.loss_by_year_histogram(inputs.locations(spark, sf_dir), inputs.tiles(spark, sf_dir), SMALL)
+    path = inputs.new_path(spark, "results")
+    write_results(totals, path)
+    schema = "list_id bigint, location_id bigint, " + ", ".join(f"{n} map<string,double>" for n in names)
+    back = spark.read.schema(schema).json(path)
+    slots = back.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(agg.BUCKETS - 1))))
+    values = [F.element_at(n, F.col("bucket").cast("string")).alias(n) for n in names]
+    return rounded(slots.select(*BY, "bucket", *values), names)
+
+
 @query
 def extended_analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
     analyses = [a for a in plans.extended_analyses() if not a.yearly]
@@ -185,6 +258,17 @@ def zonal_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts
 
 
+@query
+def zonal_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zonal histogram from prefix sums: two look-ups for a run of cells."""
+    analyses = [plans.Analysis("n", ()), plans.Analysis("n_dense", ((LAYERS.density, 30),))]
+    names = [a.name for a in analyses]
+    path = inputs.new_path(spark, "prefixes")
+    summaries.write_prefixes(inputs.stack(spark, sf_dir), path, SMALL, analyses, LAYERS.loss)
+    runs = stage(cov.coverage_runs(inputs.locations(spark, sf_dir), SMALL))
+    return summaries.zonal_prefix(runs, summaries.read_prefixes(spark, path, analyses), [*BY, *KEY], names)
+
+
 # -- grid ----------------------------------------------------------------------
 
 
@@ -250,6 +334,21 @@ def locations_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.groupBy(*BY).agg(F.count(F.lit(1)).alias("n_parts"), F.sum(F.size("rings")).alias("n_rings"))
 
 
+@query
+def locations_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One collection on one line, read in byte ranges."""
+    parts = loc.read_geojson(spark, inputs.geojson(spark, sf_dir), "list_id bigint, location_id bigint")
+    return parts.groupBy(*BY).agg(F.count(F.lit(1)).alias("n_parts"), F.sum(F.size("rings")).alias("n_rings"))
+
+
+@query
+def cell_map_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From GeoJSON text to cell maps in one call."""
+    maps = loc.read_cell_map(spark, inputs.geojson(spark, sf_dir), SMALL, properties="list_id bigint, location_id bigint")
+    n = F.aggregate("runs", F.lit(0), lambda t, run: t + run["i1"] - run["i0"])
+    return cov.explode_cell_map(maps).select("list_id", *KEY, "location_id", n.alias("n"))
+
+
 @query
 def vertex_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loc.vertex_counts(inputs.locations(spark, sf_dir))
@@ -297,6 +396,25 @@ def coverage_all_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.select(*BY, *KEY, "n_pixels")
 
 
+@query
+def coverage_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges that a ring runs along twice still touch the pixels they pass."""
+    cells = cov.coverage_cells(inputs.spikes(spark, sf_dir), SMALL, rule="all_touched")
+    return cells.select(*BY, *KEY, "n_pixels")
+
+
+@query
+def spikes_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segments that spikes touch."""
+    return cov.segment_cover(inputs.spikes(spark, sf_dir), SMALL)
+
+
+@query
+def two_level_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage with whole segments as flags; a flag is worth a segment of pixels."""
+    return two_level_cells(inputs.locations(spark, sf_dir), SMALL).select(*BY, *KEY, "n_pixels")
+
+
 @query
 def coverage_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     pixels = cov.coverage_pixels(inputs.locations(spark, sf_dir), SMALL)
@@ -342,6 +460,70 @@ def tile_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tile_summary(inputs.tiles(spark, sf_dir))
 
 
+@query
+def stored_tile_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a tile table on disk."""
+    path = inputs.new_path(spark, "tiles")
+    write_tiles(inputs.tiles(spark, sf_dir), path, SMALL)
+    return tile_summary(read_tiles(spark, path))
+
+
+@query
+def stacked_tile_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with data per layer, side by side in one scan."""
+    held = inputs.stack(spark, sf_dir)
+    counts = [F.coalesce(cell_count(F.coalesce(F.col(c), F.array())), F.lit(0)).alias(f"n_{i}") for i, c in enumerate(STACK)]
+    return held.select(*KEY, *counts)
+
+
+@query
+def tile_coverage_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tile of each location's segments under its coverage, as runs."""
+    cells = cov.coverage_cells(inputs.locations(spark, sf_dir), SMALL)
+    tiles = inputs.run_stack(spark, sf_dir).select(*KEY, LAYERS.loss)
+    by = [*BY, *KEY]
+    return run_tiles.cell_counts(run_tiles.masked_by_coverage(cells, tiles, by, LAYERS.loss), by)
+
+
+def run_totals(spark: SparkSession, sf_dir: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Sum and number of the cells of every tile, also of those that have none."""
+    tiles = stage(inputs.run_stack(spark, sf_dir))
+    counted = run_tiles.cell_counts(make(tiles), ["segment"])
+    joined = tiles.select("segment", *KEY).join(counted, "segment", "left")
+    return joined.select(*KEY, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total", "n")])
+
+
+@query
+def tile_runs_multiply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_totals(spark, sf_dir, lambda t: run_tiles.multiply(t, ["segment"], LAYERS.loss, LAYERS.density))
+
+
+@query
+def tile_runs_greater(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_totals(spark, sf_dir, lambda t: run_tiles.greater(t, ["segment"], LAYERS.loss, 12))
+
+
+@query
+def tile_runs_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_totals(spark, sf_dir, lambda t: run_tiles.mask(t, ["segment"], LAYERS.density, LAYERS.loss))
+
+
+@query
+def tile_runs_mask_by_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_totals(spark, sf_dir, lambda t: run_tiles.mask_by_value(t, ["segment"], LAYERS.density, LAYERS.primary, 0))
+
+
+@query
+def tile_runs_criterion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_totals(spark, sf_dir, lambda t: run_tiles.criterion(t, ["segment"], LAYERS.loss, LAYERS.peat, 0))
+
+
+@query
+def tile_runs_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tiles = inputs.run_stack(spark, sf_dir)
+    return tiles.select(*KEY, *[run_tiles.largest(F.col(c)).alias(f"max_{i}") for i, c in enumerate(STACK)])
+
+
 @query
 def tile_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     tiles = inputs.tiles(spark, sf_dir)
@@ -425,6 +607,13 @@ def locations_with_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.select(*BY, *KEY, "n_pixels", cell_sum(F.col(LAYERS.peat)).alias("tile_sum"))
 
 
+@query
+def locations_with_tiles_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = cov.coverage_cells(inputs.locations(spark, sf_dir), SMALL)
+    held = lay.locations_with_tiles(cells, inputs.tiles(spark, sf_dir), LAYERS.peat, SMALL, how="left")
+    return held.select(*BY, *KEY, "n_pixels", cell_sum(F.col(LAYERS.peat)).alias("tile_sum"))
+
+
 @query
 def aoi_tile_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     tiles = lay.area_tiles(inputs.tiles(spark, sf_dir), inputs.locations(spark, sf_dir), SMALL)
@@ -441,6 +630,13 @@ def catalog_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.resolve_layers(catalog, wanted, "pro")
 
 
+@query
+def catalog_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layers resolved from a catalogue on disk."""
+    catalog = cat.read_catalog(spark, inputs.catalog_file(spark, sf_dir, "default"), "default")
+    return cat.resolve_layers(catalog, catalog.select("name"), "default")
+
+
 @query
 def catalog_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.substitute_latest(inputs.catalog(spark, sf_dir), inputs.versions(spark, sf_dir))

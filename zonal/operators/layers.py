@@ -124,11 +124,12 @@ def locations_with_tiles(
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     cells = stage(cells)
-    held = layer_tiles(tiles, layer).where(F.col(layer).isNotNull())
-    met = _meet(cells, held, grid, rows_per_task)
+    sizes = group_sizes(cells, list(KEY))
+    held = layer_tiles(pruned_tiles(tiles, sizes, grid), layer).where(F.col(layer).isNotNull())
+    met = spread_join(cells, held, sizes, list(KEY), list(LOC), rows_per_task)
     if how == "inner":
         return met
-    alone = cells.join(layer_tiles(tiles, layer).where(F.col(layer).isNotNull()).select(*KEY), list(KEY), "left_anti")
+    alone = cells.join(held.select(*KEY), list(KEY), "left_anti")
     nothing = F.lit(None).cast(held.schema[layer].dataType).alias(layer)
     return met.unionByName(alone.select(*cells.columns, nothing))
 
@@ -137,10 +138,7 @@ def spatial_join(
     locations: DataFrame, tiles: DataFrame, grid: Grid, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Location x tile pairs that intersect, as an equi-join on touched segments."""
-    return _meet(stage(segment_cover(locations, grid)), tiles, grid, rows_per_task)
-
-
-def _meet(cells: DataFrame, tiles: DataFrame, grid: Grid, rows_per_task: int) -> DataFrame:
+    cells = stage(segment_cover(locations, grid))
     sizes = group_sizes(cells, list(KEY))
     return spread_join(cells, pruned_tiles(tiles, sizes, grid), sizes, list(KEY), list(LOC), rows_per_task)
 

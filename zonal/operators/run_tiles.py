@@ -13,28 +13,29 @@ from pyspark.sql import functions as F
 
 
 def to_runs(cells: Column) -> Column:
-    """An array of cells to its runs."""
-    places = F.sequence(F.lit(0), F.size(cells) - 1)
-    starts = F.filter(places, lambda i: (i == 0) | ~F.get(cells, i).eqNullSafe(F.get(cells, i - 1)))
-
-    def run(i0: Column, k: Column) -> Column:
-        i1 = F.coalesce(F.get(starts, k + 1), F.size(cells))
-        return F.struct(i0.alias("i0"), i1.alias("i1"), F.get(cells, i0).alias("v"))
-
-    runs = F.filter(F.transform(starts, run), lambda r: r["v"].isNotNull())
-    return F.when(F.size(cells) > 0, runs).otherwise(F.filter(F.array(F.struct(*[F.lit(0).alias(c) for c in ("i0", "i1", "v")])), lambda r: F.lit(False)))
+    """An array of cells to its runs, in passes over the cells."""
+    # lambdas see elements only: an array they looked into would be made again for each of them
+    before = F.concat(F.array(F.lit(None).cast("int")), cells)
+    paired = F.zip_with(cells, F.slice(before, 1, F.size(cells)), lambda x, b: F.struct(x.alias("v"), x.eqNullSafe(b).alias("same")))
+    numbered = F.transform(paired, lambda p, i: F.struct(i.alias("i0"), p["v"].alias("v"), ((i > 0) & p["same"]).alias("same")))
+    starts = F.filter(numbered, lambda e: ~e["same"])
+    ends = F.concat(F.transform(starts, lambda e: e["i0"]), F.array(F.size(cells)))
+    ends = F.slice(ends, 2, F.size(cells) + 1)
+    runs = F.zip_with(starts, ends, lambda e, i1: F.struct(e["i0"].alias("i0"), i1.alias("i1"), e["v"].alias("v")))
+    return F.filter(runs, lambda r: r["v"].isNotNull())
 
 
 def to_cells(runs: Column, size: int) -> Column:
     """Runs back to an array of `size` cells."""
     nothing = F.lit(None).cast("int")
+    ends = F.concat(F.array(F.lit(0)), F.transform(runs, lambda r: r["i1"]))
 
-    def stretch(run: Column, k: Column) -> Column:
-        before = F.coalesce(F.get(runs, k - 1)["i1"], F.lit(0))
-        return F.concat(F.array_repeat(nothing, run["i0"] - before), F.array_repeat(run["v"], run["i1"] - run["i0"]))
+    def stretch(run: Column, before: Column) -> Column:
+        gap = F.array_repeat(nothing, F.coalesce(run["i0"], F.lit(size)) - before)
+        return F.when(run.isNull(), gap).otherwise(F.concat(gap, F.array_repeat(run["v"], run["i1"] - run["i0"])))
 
-    end = F.coalesce(F.try_element_at(runs, F.lit(-1))["i1"], F.lit(0))
-    return F.concat(F.flatten(F.transform(runs, stretch)), F.array_repeat(nothing, F.lit(size) - end))
+    # the ends are one more than the runs: the last one begins the gap up to the end of the tile
+    return F.flatten(F.zip_with(runs, ends, stretch))
 
 
 def merged(tiles: DataFrame, by: list[str], a: str, b: str) -> DataFrame:

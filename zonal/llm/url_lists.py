@@ -6,9 +6,10 @@ on the day it was fetched, not by the list of today. An entry for a host covers
 it, an entry for a page that page. The most specific active entry decides; between equals, a
 block does.
 
-Only DataFrame functions are used. Intervals are cut at months, so that capture and interval
-meet on (address, month) by equality and no address gathers all its days in one place; an
-address with a great share of the captures is dealt out further.
+Only DataFrame functions are used. Intervals are made from at most one row for an address and
+day. They are cut at months, so that capture and interval meet on (address, month) by equality and
+no address gathers all its captures in one place; an address with a great share of them is dealt
+out further. Addresses that no list ever names are sifted out before they are shuffled.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonal.llm.common import HOT_SHARE, free_name
+from zonal.llm.common import HOT_SHARE, free_name, sift
 from zonal.operators.staging import stage
 
 # Parts into which the captures of a hot (address, month) are dealt.
@@ -79,6 +80,7 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", day: str =
     asked = held.select(F.col(row).alias("row"), F.col(day).cast("date").alias("day"), F.inline(keys_of(F.col(url))))
     # only addresses that are on some list can meet; the month keeps any of them apart by time
     asked = asked.where(F.col("day").isNotNull()).withColumn("month", F.trunc("day", "month"))
+    asked = stage(sift(asked, "address", intervals, intervals.count()))
     last = held.agg(F.max(F.col(day).cast("date")).alias("last"))
     open_until = F.greatest("from_day", F.coalesce(F.date_sub("to_day", 1), "last"))
     cut = intervals.join(F.broadcast(last)).where("from_day <= last")  # one row
@@ -110,15 +112,3 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", day: str =
         named["blocked"]: F.coalesce(named["blocked"], F.lit(False)),
         named["active_entries"]: F.coalesce(named["active_entries"], F.lit(0).cast("bigint")),
     })
-
-
-def observed_entries(pages: DataFrame, day: Column, marks: int = 3) -> DataFrame:
-    """List entries kept by a reviewer who looks at every capture: one with at least `marks`
-    marked words (ending in ***, ###, $$$, %%% or &&&) puts its page and its host on the list,
-    one without any takes both off, each from the next day."""
-    found = F.regexp_count(F.coalesce("html", F.lit("")), F.lit(r"\w(?:\*{3}|#{3}|\${3}|%{3}|&{3})"))
-    action = F.when(found >= marks, F.lit(BLOCK)).when(found == 0, F.lit(REMOVE))
-    url = F.col("url")
-    seen = pages.select(F.array(page_of(url), host_of(url)).alias("addresses"), F.date_add(day, 1).alias("day"), action.alias("action"))
-    entries = seen.where("action is not null").select(F.explode("addresses").alias("address"), "day", "action")
-    return entries.where("address is not null")

@@ -190,6 +190,26 @@ class _Sink(io.RawIOBase):
         super().close()
 
 
+def released(run):
+    """`run` over batches, handing back to the system what it no longer needs when it ends. Workers
+    stay for later tasks, and would keep at hand as much as their largest batch ever took."""
+
+    def all_of(batches):
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim is not None:
+            trim(0)
+
+    return all_of
+
+
 def pieces(texts, most: int = 1 << 20):
     """Slices (first, last) of an Arrow string column with about `most` bytes each; a longer
     text is a slice of its own."""

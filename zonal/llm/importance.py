@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonal.llm.common import in_order, pieces, ship
+from zonal.llm.common import in_order, pieces, released, ship
 from zonal.llm.words import Tokens, mixed
 from zonal.operators.staging import stage
 
@@ -155,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 1) -> Importance:
         seen = np.flatnonzero(every)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(every[seen]), pa.array(target[seen])], ["bucket", "n", "t"])
 
-    counts = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(count, "bucket bigint, n bigint, t bigint")
+    counts = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(released(count), "bucket bigint, n bigint, t bigint")
     rows = counts.groupBy("bucket").agg(F.sum("n"), F.sum("t")).collect()  # at most BUCKETS rows
     every, target = np.zeros(BUCKETS, dtype="i8"), np.zeros(BUCKETS, dtype="i8")
     for bucket, n, t in rows:
@@ -175,7 +175,7 @@ def score(docs: DataFrame, model: Importance) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "log_weight", "key", "n_grams", "label"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, log_weight double, key double, n_grams bigint, label int")
+    return rows.mapInArrow(released(run), "doc_id bigint, log_weight double, key double, n_grams bigint, label int")
 
 
 def sample_size(scores: DataFrame) -> int:
@@ -228,4 +228,4 @@ def select(docs: DataFrame, model: Importance) -> DataFrame:
             _, key, count, _ = model.score(batch, at, text)
             yield batch.filter(pa.array((key >= model.threshold) & (count > 0)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

@@ -7,10 +7,11 @@ variance; and offers of rank j only matter while some slot has none below, so it
 
 Equal sets are one class, of which only one member goes on. Slots are cut into bands; sets that
 agree on a band are a bucket. A bucket of n sets offers not n * n pairs but each set with at most
-four pivots; links are confirmed on the full sets and grouped by union-find. Buckets that still
-hold several groups are then compared block against block, across groups only, and of those
-links one for a set and a group is kept. A signature never decides on a link: it only says
-which sets are worth confirming.
+four pivots: first with one of them, and after links are confirmed on the full sets and grouped by
+union-find, with the others where that left the two in different groups. So most sets move once or
+twice, however many bands and copies they have. Buckets that still hold several groups are then
+compared block against block, across groups only, and of those links one for a set and a group is
+kept. A signature never decides on a link: it only says which sets are worth confirming.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonal.llm.common import look_up, pieces, ship, sift, spread_join
+from zonal.llm.common import look_up, pieces, released, ship, sift, spread_join
 from zonal.llm.words import mixed
 from zonal.operators.staging import stage
 
@@ -32,9 +33,10 @@ PERCENT = 75
 SLOTS = 128
 BANDS = 32
 
-# Sets of one bucket are confirmed when this part of their slots agrees: four standard deviations
-# below 0.75 at 128 slots.
-LIKELY = 0.6
+# Sets of one bucket are confirmed when this part of their slots agrees: 4.7 standard deviations
+# below 0.75 at 128 slots, so a linked pair is passed over about once in a million. A parameter:
+# 0 confirms every pair that a band proposes.
+LIKELY = 0.57
 
 # Sets of one bucket that a block holds.
 BLOCK = 512
@@ -62,16 +64,13 @@ def shingles(text: bytes):
 
 
 def packed(hashes) -> bytes:
-    """A set for the confirmation of links: the upper 40 bits of each hash, in order."""
-    kept = np.unique(hashes >> np.uint64(24)).astype("<u8")
-    return kept.view("u1").reshape(-1, 8)[:, :5].tobytes()
+    """A set for the confirmation of links: its hashes, whole and in order."""
+    return hashes.astype("<u8").tobytes()
 
 
 def unpacked(data: bytes):
     """The numbers of a packed set."""
-    wide = np.zeros((len(data) // 5, 8), dtype="u1")
-    wide[:, :5] = np.frombuffer(data, dtype="u1").reshape(-1, 5)
-    return wide.view("<u8").ravel()
+    return np.frombuffer(data, dtype="<u8")
 
 
 def signatures(elements, doc, docs: int):
@@ -139,7 +138,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             yield from _sketches(batch, 0, 1)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, prints binary, shingles binary"
+        released(run), "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, prints binary, shingles binary"
     )
     return stage(rows.withColumn("row_id", F.monotonically_increasing_id()))
 
@@ -161,13 +160,29 @@ def tested(pairs: DataFrame, values: DataFrame, test: Callable[[bytes, bytes], b
             passed = [test(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
-    return stage(both.select("a", "b", "of_a", "of_b").mapInArrow(check, "a bigint, b bigint"))
+    return stage(both.select("a", "b", "of_a", "of_b").mapInArrow(released(check), "a bigint, b bigint"))
 
 
-def alike(x: bytes, y: bytes) -> bool:
+def alike(likely: float) -> Callable[[bytes, bytes], bool]:
     """Whether enough slots agree for a confirmation to be worth while."""
-    same = np.frombuffer(x, dtype="u1") == np.frombuffer(y, dtype="u1")
-    return int(same.sum()) >= LIKELY * SLOTS
+
+    def test(x: bytes, y: bytes) -> bool:
+        same = np.frombuffer(x, dtype="u1") == np.frombuffer(y, dtype="u1")
+        return int(same.sum()) >= likely * SLOTS
+
+    return test
+
+
+def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose ends are not yet in one group of `known` (node, group)."""
+    pairs = stage(pairs)
+    total, named = pairs.count(), pairs
+    for end in ("a", "b"):
+        sizes = pairs.groupBy(end).agg(F.count(F.lit(1)).alias("n"))
+        table = sizes.join(known.select(F.col("node").alias(end), "group"), end, "left")
+        table = stage(table.select(end, "n", F.coalesce("group", end).alias(f"group_{end}")))
+        named = stage(look_up(named, table, end, total))
+    return named.where("group_a <> group_b").select("a", "b")
 
 
 def linked(x: bytes, y: bytes) -> bool:
@@ -265,19 +280,23 @@ def _minor(group, block, crossed):
         yield k, (group != group[k]) & ((block != block[k]) | (not crossed))
 
 
-def _likely(batches):
+def _likely(likely: float):
     """Members of a block pair that look linked to a member of another group."""
-    import pyarrow as pa
 
-    for rows in _block_pairs(batches):
-        i, j, group, block = (rows.column(k).to_numpy() for k in (1, 2, 4, 5))
-        prints = np.frombuffer(b"".join(rows.column(6).to_pylist()), dtype="u1").reshape(-1, SLOTS)
-        found = np.zeros(len(group), dtype=bool)
-        for k, others in _minor(group, block, i[0] != j[0]):
-            others &= (prints == prints[k]).sum(axis=1) >= LIKELY * SLOTS
-            found[k] |= others.any()
-            found |= others
-        yield pa.RecordBatch.from_arrays(rows.columns[:6], rows.schema.names[:6]).filter(pa.array(found))
+    def run(batches):
+        import pyarrow as pa
+
+        for rows in _block_pairs(batches):
+            i, j, group, block = (rows.column(k).to_numpy() for k in (1, 2, 4, 5))
+            prints = np.frombuffer(b"".join(rows.column(6).to_pylist()), dtype="u1").reshape(-1, SLOTS)
+            found = np.zeros(len(group), dtype=bool)
+            for k, others in _minor(group, block, i[0] != j[0]):
+                others &= (prints == prints[k]).sum(axis=1) >= likely * SLOTS
+                found[k] |= others.any()
+                found |= others
+            yield pa.RecordBatch.from_arrays(rows.columns[:6], rows.schema.names[:6]).filter(pa.array(found))
+
+    return run
 
 
 def _links(batches):
@@ -307,7 +326,7 @@ def _ended(batches):
     yield None
 
 
-def group(sketches: DataFrame) -> DataFrame:
+def group(sketches: DataFrame, likely: float = LIKELY) -> DataFrame:
     """Sketches to one row per distinct set: set_key, component_id, n (documents)."""
     filled = sketches.where("n_shingles > 0")
     classes = filled.groupBy("set_key").agg(
@@ -330,11 +349,18 @@ def group(sketches: DataFrame) -> DataFrame:
     buckets = stage(buckets.where("n > 1"))
     pivots = buckets.select("band", "n", F.col("n").alias("members"), F.array_compact(F.array_distinct(F.array("p0", "p1", "p2", "p3"))).alias("pivots"))
     held = stage(look_up(entries, pivots, "band", total).where("pivots is not null"))
-    stars = held.select("row", F.explode("pivots").alias("pivot")).where("row <> pivot")
-    stars = stars.select(F.least("row", "pivot").alias("a"), F.greatest("row", "pivot").alias("b")).distinct()
+    stars = held.select("row", F.posexplode("pivots").alias("turn", "pivot")).where("row <> pivot")
+    ends = [F.least("row", "pivot").alias("a"), F.greatest("row", "pivot").alias("b")]
+    stars = stage(stars.groupBy(*ends).agg(F.min("turn").alias("turn")))
     sets = sketches.select(F.col("row_id").alias("row"), F.col("shingles").alias("value"))
     prints = sketches.select(F.col("row_id").alias("row"), F.col("prints").alias("value"))
-    known = components(tested(tested(stars, prints, alike), sets, linked))
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return tested(tested(pairs, prints, alike(likely)), sets, linked)
+
+    known = components(confirmed(stars.where("turn = 0").select("a", "b")))
+    more = confirmed(apart(stars.where("turn > 0").select("a", "b"), known))
+    known = components(known.select(F.col("node").alias("a"), F.col("group").alias("b")).unionByName(more))
 
     # what stars leave open: buckets with more than one group, among sets that are no pivots
     large = held.where("members > 3").select("band", "row", "members")
@@ -358,8 +384,8 @@ def group(sketches: DataFrame) -> DataFrame:
         return found.select(*columns, "value").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
 
     schema = "band bigint, i int, j int, row bigint, group bigint, block int"
-    likely = stage(together(open_rows, prints).mapInArrow(_likely, schema))
-    links = together(likely, sets).mapInArrow(_links, "a bigint, b bigint").distinct()
+    near = stage(together(open_rows, prints).mapInArrow(released(_likely(likely)), schema))
+    links = together(near, sets).mapInArrow(released(_links), "a bigint, b bigint").distinct()
     joined = components(links)
 
     named = stage(classes.join(known.withColumnRenamed("node", "row"), "row", "left").withColumn("group", F.coalesce("group", "row")))
@@ -372,7 +398,7 @@ def group(sketches: DataFrame) -> DataFrame:
     return stage(whole.select("set_key", "component_id", "n"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, likely: float = LIKELY) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id, kept.
 
     Documents are linked when their shingle sets share 75 % of their union; component_id is the
@@ -382,7 +408,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     either. Rows that repeat an id are documents each, and kept together. No documents: no rows.
     Other columns are not read."""
     sketches = sketch(docs)
-    classes = group(sketches)
+    classes = group(sketches, likely)
     rows = sketches.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_key")).alias("set_key"))
     found = look_up(rows, classes, "set_key", sketches.count())
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))

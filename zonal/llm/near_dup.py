@@ -33,10 +33,10 @@ PERCENT = 75
 SLOTS = 128
 BANDS = 32
 
-# Sets of one bucket are confirmed when this part of their slots agrees: 4.7 standard deviations
-# below 0.75 at 128 slots, so a linked pair is passed over about once in a million. A parameter:
-# 0 confirms every pair that a band proposes.
-LIKELY = 0.57
+# Sets of one bucket are confirmed when this part of their slots agrees: 3.9 standard deviations
+# below 0.75 at 128 slots, so that of pairs right at the limit about one in 20,000 is passed over. A
+# parameter: 0 confirms every pair that a band proposes.
+LIKELY = 0.6
 
 # Sets of one bucket that a block holds.
 BLOCK = 512
@@ -281,17 +281,22 @@ def _minor(group, block, crossed):
 
 
 def _likely(likely: float):
-    """Members of a block pair that look linked to a member of another group."""
+    """Members of a block pair that look linked to a member of another group. Two sets that share
+    several bands are looked at in the first of them only: there they meet in a bucket that is open
+    too, or were compared as a set and its pivot."""
 
     def run(batches):
         import pyarrow as pa
 
         for rows in _block_pairs(batches):
-            i, j, group, block = (rows.column(k).to_numpy() for k in (1, 2, 4, 5))
-            prints = np.frombuffer(b"".join(rows.column(6).to_pylist()), dtype="u1").reshape(-1, SLOTS)
+            band, i, j, group, block = (rows.column(k).to_numpy() for k in (0, 1, 2, 4, 5))
+            marks = rows.column(6)
+            prints = np.frombuffer(b"".join(marks.field("prints").to_pylist()), dtype="u1").reshape(-1, SLOTS)
+            bands = marks.field("bands").flatten().to_numpy().reshape(-1, BANDS)
             found = np.zeros(len(group), dtype=bool)
             for k, others in _minor(group, block, i[0] != j[0]):
                 others &= (prints == prints[k]).sum(axis=1) >= likely * SLOTS
+                others[others] = bands[k, (bands[others] == bands[k]).argmax(axis=1)] == band[0]
                 found[k] |= others.any()
                 found |= others
             yield pa.RecordBatch.from_arrays(rows.columns[:6], rows.schema.names[:6]).filter(pa.array(found))
@@ -354,6 +359,7 @@ def group(sketches: DataFrame, likely: float = LIKELY) -> DataFrame:
     stars = stage(stars.groupBy(*ends).agg(F.min("turn").alias("turn")))
     sets = sketches.select(F.col("row_id").alias("row"), F.col("shingles").alias("value"))
     prints = sketches.select(F.col("row_id").alias("row"), F.col("prints").alias("value"))
+    marks = sketches.select(F.col("row_id").alias("row"), F.struct("prints", "bands").alias("value"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         return tested(tested(pairs, prints, alike(likely)), sets, linked)
@@ -384,7 +390,7 @@ def group(sketches: DataFrame, likely: float = LIKELY) -> DataFrame:
         return found.select(*columns, "value").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
 
     schema = "band bigint, i int, j int, row bigint, group bigint, block int"
-    near = stage(together(open_rows, prints).mapInArrow(released(_likely(likely)), schema))
+    near = stage(together(open_rows, marks).mapInArrow(released(_likely(likely)), schema))
     links = together(near, sets).mapInArrow(released(_links), "a bigint, b bigint").distinct()
     joined = components(links)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -190,6 +191,22 @@ class _Sink(io.RawIOBase):
         super().close()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m"):
+    """Bound the Arrow batches of what is run inside by bytes: both sides of the pipe hold some of
+    them per task, outside the heap. The session's own bound comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def released(run):
     """`run` over batches, handing back to the system what it no longer needs when it ends. Workers
     stay for later tasks, and would keep at hand as much as their largest batch ever took."""

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonal.llm.common import in_order, pieces, released, ship
+from zonal.llm.common import in_order, pieces, released, ship, small_batches
 from zonal.llm.words import Tokens, mixed
 from zonal.operators.staging import stage
 
@@ -156,7 +156,8 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 1) -> Importance:
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(every[seen]), pa.array(target[seen])], ["bucket", "n", "t"])
 
     counts = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(released(count), "bucket bigint, n bigint, t bigint")
-    rows = counts.groupBy("bucket").agg(F.sum("n"), F.sum("t")).collect()  # at most BUCKETS rows
+    with small_batches(docs.sparkSession):
+        rows = counts.groupBy("bucket").agg(F.sum("n"), F.sum("t")).collect()  # at most BUCKETS rows
     every, target = np.zeros(BUCKETS, dtype="i8"), np.zeros(BUCKETS, dtype="i8")
     for bucket, n, t in rows:
         every[bucket], target[bucket] = n, t
@@ -208,7 +209,8 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
     text) have equal keys and are taken or left together with the last place. Without labels
     every other text is kept. Other columns are ignored."""
     model = fit(docs, labels, seed)
-    scores = stage(score(docs, model))
+    with small_batches(docs.sparkSession):
+        scores = stage(score(docs, model))
     k = sample_size(scores) if k is None else k
     ranked = in_order(scores.where(F.col("n_grams") > 0), F.desc("key"), "doc_id")
     last = ranked.where(F.col("position") == F.lit(k - 1)).select("key").collect() if k > 0 else []

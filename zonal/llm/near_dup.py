@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonal.llm.common import look_up, pieces, released, ship, sift, spread_join
+from zonal.llm.common import look_up, pieces, released, ship, sift, small_batches, spread_join
 from zonal.llm.words import mixed
 from zonal.operators.staging import stage
 
@@ -140,7 +140,8 @@ def sketch(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
         released(run), "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, prints binary, shingles binary"
     )
-    return stage(rows.withColumn("row_id", F.monotonically_increasing_id()))
+    with small_batches(docs.sparkSession):
+        return stage(rows.withColumn("row_id", F.monotonically_increasing_id()))
 
 
 def tested(pairs: DataFrame, values: DataFrame, test: Callable[[bytes, bytes], bool]) -> DataFrame:
@@ -160,7 +161,8 @@ def tested(pairs: DataFrame, values: DataFrame, test: Callable[[bytes, bytes], b
             passed = [test(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
-    return stage(both.select("a", "b", "of_a", "of_b").mapInArrow(released(check), "a bigint, b bigint"))
+    with small_batches(pairs.sparkSession):
+        return stage(both.select("a", "b", "of_a", "of_b").mapInArrow(released(check), "a bigint, b bigint"))
 
 
 def alike(likely: float) -> Callable[[bytes, bytes], bool]:
@@ -293,8 +295,10 @@ def _likely(likely: float):
             marks = rows.column(6)
             prints = np.frombuffer(b"".join(marks.field("prints").to_pylist()), dtype="u1").reshape(-1, SLOTS)
             bands = marks.field("bands").flatten().to_numpy().reshape(-1, BANDS)
+            sizes = marks.field("n_shingles").to_numpy()
             found = np.zeros(len(group), dtype=bool)
             for k, others in _minor(group, block, i[0] != j[0]):
+                others &= 100 * np.minimum(sizes, sizes[k]) >= PERCENT * np.maximum(sizes, sizes[k])
                 others &= (prints == prints[k]).sum(axis=1) >= likely * SLOTS
                 others[others] = bands[k, (bands[others] == bands[k]).argmax(axis=1)] == band[0]
                 found[k] |= others.any()
@@ -339,27 +343,30 @@ def group(sketches: DataFrame, likely: float = LIKELY) -> DataFrame:
     )
     classes = stage(classes)
     ones = classes.select("row")
-    bands = stage(sketches.select(F.col("row_id").alias("row"), "bands").join(ones, "row", "left_semi"))
-    entries = bands.select("row", F.explode("bands").alias("band"))
+    bands = stage(sketches.select(F.col("row_id").alias("row"), F.col("n_shingles").alias("size"), "bands").join(ones, "row", "left_semi"))
+    entries = bands.select("row", "size", F.explode("bands").alias("band"))
     # most bands belong to one set alone: count them with nothing else in the shuffle, and go on
     # with entries of the others
     often = stage(entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     shared, total = often.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     entries = sift(entries, "band", often, shared)
     odd = F.xxhash64("row") % 2 != 0
-    left, right = F.when(odd, F.col("row")), F.when(~odd, F.col("row"))
+    sized = F.struct("row", "size")
+    left, right = F.when(odd, sized), F.when(~odd, sized)
     buckets = entries.groupBy("band").agg(
         F.count(F.lit(1)).alias("n"), F.min(left).alias("p0"), F.max(left).alias("p1"), F.min(right).alias("p2"), F.max(right).alias("p3")
     )
     buckets = stage(buckets.where("n > 1"))
     pivots = buckets.select("band", "n", F.col("n").alias("members"), F.array_compact(F.array_distinct(F.array("p0", "p1", "p2", "p3"))).alias("pivots"))
     held = stage(look_up(entries, pivots, "band", total).where("pivots is not null"))
-    stars = held.select("row", F.posexplode("pivots").alias("turn", "pivot")).where("row <> pivot")
-    ends = [F.least("row", "pivot").alias("a"), F.greatest("row", "pivot").alias("b")]
+    stars = held.select("row", "size", F.posexplode("pivots").alias("turn", "pivot")).where("row <> pivot.row")
+    # sets whose sizes alone are too far apart share too little
+    stars = stars.where(F.least("size", "pivot.size") * 100 >= F.greatest("size", "pivot.size") * PERCENT)
+    ends = [F.least("row", "pivot.row").alias("a"), F.greatest("row", "pivot.row").alias("b")]
     stars = stage(stars.groupBy(*ends).agg(F.min("turn").alias("turn")))
     sets = sketches.select(F.col("row_id").alias("row"), F.col("shingles").alias("value"))
     prints = sketches.select(F.col("row_id").alias("row"), F.col("prints").alias("value"))
-    marks = sketches.select(F.col("row_id").alias("row"), F.struct("prints", "bands").alias("value"))
+    marks = sketches.select(F.col("row_id").alias("row"), F.struct("prints", "bands", "n_shingles").alias("value"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         return tested(tested(pairs, prints, alike(likely)), sets, linked)
@@ -390,8 +397,9 @@ def group(sketches: DataFrame, likely: float = LIKELY) -> DataFrame:
         return found.select(*columns, "value").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
 
     schema = "band bigint, i int, j int, row bigint, group bigint, block int"
-    near = stage(together(open_rows, marks).mapInArrow(released(_likely(likely)), schema))
-    links = together(near, sets).mapInArrow(released(_links), "a bigint, b bigint").distinct()
+    with small_batches(sketches.sparkSession):
+        near = stage(together(open_rows, marks).mapInArrow(released(_likely(likely)), schema))
+        links = stage(together(near, sets).mapInArrow(released(_links), "a bigint, b bigint").distinct())
     joined = components(links)
 
     named = stage(classes.join(known.withColumnRenamed("node", "row"), "row", "left").withColumn("group", F.coalesce("group", "row")))

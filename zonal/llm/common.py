@@ -24,22 +24,27 @@ def draw(seed: int, *columns) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
 
 
-def look_up(rows: DataFrame, table: DataFrame, key: str, total: int, count: str = "n") -> DataFrame:
+def look_up(rows: DataFrame, table: DataFrame, key: str, total: int, count: str = "n", written: bool = False) -> DataFrame:
     """Left join of `rows` to a table of one row per key that also says how many rows each
     key has (`count`, dropped). Hot keys are answered from a broadcast of at most HOT_SHARE
     rows and never shuffled, so the shuffled rest holds no key with more than its share; rows
-    without a key take no part in either. `rows` is read up to three times: stage it first."""
+    without a key take no part in either. `rows` is read up to three times: stage it first. Where the
+    table is `written`, it is asked first whether it has hot keys at all, and without any this is a
+    plain join: a broadcast takes up memory on every executor, however few rows it has."""
     values = [c for c in table.columns if c not in (key, count)]
     hot = F.col(count) * F.lit(HOT_SHARE) >= F.lit(total)
     few = table.where(hot).select(key, *values)
     known = rows.where(F.col(key).isNotNull())
-    cold = known.join(F.broadcast(few.select(key)), key, "left_anti")
     order = [*rows.columns, *values]
     types = dict(table.dtypes)
-    parts = [
-        known.join(F.broadcast(few), key).select(*order),
-        cold.join(table.where(~hot).select(key, *values), key, "left").select(*order),
-    ]
+    if written and few.isEmpty():
+        parts = [known.join(table.select(key, *values), key, "left").select(*order)]
+    else:
+        cold = known.join(F.broadcast(few.select(key)), key, "left_anti")
+        parts = [
+            known.join(F.broadcast(few), key).select(*order),
+            cold.join(table.where(~hot).select(key, *values), key, "left").select(*order),
+        ]
     if rows.schema[key].nullable:
         nothing = [F.lit(None).cast(types[c]).alias(c) for c in values]
         parts.append(rows.where(F.col(key).isNull()).select(*rows.columns, *nothing))

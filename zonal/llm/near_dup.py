@@ -183,7 +183,7 @@ def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
         sizes = pairs.groupBy(end).agg(F.count(F.lit(1)).alias("n"))
         table = sizes.join(known.select(F.col("node").alias(end), "group"), end, "left")
         table = stage(table.select(end, "n", F.coalesce("group", end).alias(f"group_{end}")))
-        named = stage(look_up(named, table, end, total))
+        named = stage(look_up(named, table, end, total, written=True))
     return named.where("group_a <> group_b").select("a", "b")
 
 
@@ -240,7 +240,7 @@ def components(edges: DataFrame) -> DataFrame:
         steps.append(step)
         for end in ("a", "b"):
             table = step.select(F.col("node").alias(end), "to", "n")
-            edges = look_up(edges, table, end, n).drop(end).withColumnRenamed("to", end)
+            edges = look_up(edges, table, end, n, written=True).drop(end).withColumnRenamed("to", end)
             edges = stage(edges) if end == "a" else edges
         left = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         edges = stage(left.mapInArrow(_forest, "a bigint, b bigint"))
@@ -251,7 +251,7 @@ def components(edges: DataFrame) -> DataFrame:
         groups = stage(groups)
         sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
         table = step.select(F.col("node").alias("group"), "to").join(sizes, "group")
-        groups = look_up(groups, stage(table), "group", groups.count())
+        groups = look_up(groups, stage(table), "group", groups.count(), written=True)
         groups = groups.select("node", F.coalesce("to", "group").alias("group"))
     return stage(groups)
 
@@ -358,7 +358,7 @@ def group(sketches: DataFrame, likely: float = LIKELY) -> DataFrame:
     )
     buckets = stage(buckets.where("n > 1"))
     pivots = buckets.select("band", "n", F.col("n").alias("members"), F.array_compact(F.array_distinct(F.array("p0", "p1", "p2", "p3"))).alias("pivots"))
-    held = stage(look_up(entries, pivots, "band", total).where("pivots is not null"))
+    held = stage(look_up(entries, pivots, "band", total, written=True).where("pivots is not null"))
     stars = held.select("row", "size", F.posexplode("pivots").alias("turn", "pivot")).where("row <> pivot.row")
     # sets whose sizes alone are too far apart share too little
     stars = stars.where(F.least("size", "pivot.size") * 100 >= F.greatest("size", "pivot.size") * PERCENT)
@@ -381,7 +381,7 @@ def group(sketches: DataFrame, likely: float = LIKELY) -> DataFrame:
     large = stage(large)
     mixed_up = large.groupBy("band").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count(F.lit(1)).alias("n"))
     mixed_up = stage(mixed_up.where("low <> high").select("band", F.lit(True).alias("open"), "n"))
-    open_rows = look_up(large, mixed_up, "band", large.count()).where("open")
+    open_rows = look_up(large, mixed_up, "band", large.count(), written=True).where("open")
     blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
     open_rows = open_rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     open_rows = stage(open_rows.select("band", "row", "group", "blocks", "block"))
@@ -405,10 +405,10 @@ def group(sketches: DataFrame, likely: float = LIKELY) -> DataFrame:
     named = stage(classes.join(known.withColumnRenamed("node", "row"), "row", "left").withColumn("group", F.coalesce("group", "row")))
     sizes = named.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
     final = joined.select(F.col("node").alias("group"), F.col("group").alias("final")).join(sizes, "group")
-    named = look_up(named, stage(final), "group", named.count(), count="members")
+    named = look_up(named, stage(final), "group", named.count(), count="members", written=True)
     named = stage(named.withColumn("group", F.coalesce("final", "group")).drop("final"))
     firsts = named.groupBy("group").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("members"))
-    whole = look_up(named, stage(firsts), "group", named.count(), count="members")
+    whole = look_up(named, stage(firsts), "group", named.count(), count="members", written=True)
     return stage(whole.select("set_key", "component_id", "n"))
 
 
@@ -424,7 +424,7 @@ def near_duplicates(docs: DataFrame, likely: float = LIKELY) -> DataFrame:
     sketches = sketch(docs)
     classes = group(sketches, likely)
     rows = sketches.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_key")).alias("set_key"))
-    found = look_up(rows, classes, "set_key", sketches.count())
+    found = look_up(rows, classes, "set_key", sketches.count(), written=True)
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     named = found.select("doc_id", "n_shingles", component.alias("component_id"))
     alone = F.col("n_shingles") == 0

@@ -57,6 +57,10 @@ def test_look_up_and_spread_join_agree_with_plain_joins(spark):
     table = stage(sizes.where("k <> 2"))
     got = sorted(columns(look_up(rows, table, "k", 5000), "id", "v"))
     assert got == sorted(columns(rows.join(table.drop("n"), "k", "left"), "id", "v"))
+    assert sorted(columns(look_up(rows, table, "k", 5000, written=True), "id", "v")) == got
+    own = stage(spark.range(0, 5000, 3).select(F.col("id").alias("k"), F.lit(1).alias("n"), (F.col("id") * 2).alias("v")))
+    plain = look_up(stage(spark.range(5000).select(F.col("id").alias("k"), "id")), own, "k", 5000, written=True)
+    assert sorted(columns(plain, "id", "v")) == [(i, i * 2 if i % 3 == 0 else None) for i in range(5000)]
     spread = sorted(columns(spread_join(rows, table.drop("n"), "k", "id", 5000), "id", "v"))
     assert spread == sorted(columns(rows.join(table.drop("n"), "k"), "id", "v"))
     wanted = rows.where("id < 40")
@@ -274,6 +278,8 @@ def test_near_duplicates_by_brute_force(spark, odd, none):
     assert sorted(columns(got, "doc_id", "n_shingles", "component_id"), key=str) == brute_components(rows)
     assert all(kept == (n == 0 or (i is not None and i == c)) for i, n, c, kept in columns(got, "doc_id", "n_shingles", "component_id", "kept"))
     assert near_dup.near_duplicates(none).count() == 0
+    every = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), likely=0)
+    assert sorted(columns(every, *every.columns), key=str) == sorted(columns(got, *got.columns) if hasattr(got, "columns") else got, key=str)
 
 
 def test_components_of_a_long_chain(spark):

@@ -4,8 +4,14 @@ polygon is tested against its shape, tiles are unnested cell by cell, codes go t
 from __future__ import annotations
 
 from suite.inputs import LAND_COVER_CODES, LAYERS, STACK
-from zonal.functions.geodesy import ECCENTRICITY, SEMI_MINOR
-from zonal.operators.legends import DENSITY_CLASSES, DENSITY_TOP, LEGENDS, REGION_BITS
+from zonal.operators.legends import LEGENDS, REGION_BITS
+
+# Fixed values, written out apart from the library's: WGS 84 axes in metres, and the upper end and
+# label of density classes.
+SEMI_MAJOR, SEMI_MINOR = 6378137.0, 6356752.314245179
+ECCENTRICITY = (1.0 - (SEMI_MINOR / SEMI_MAJOR) ** 2) ** 0.5
+DENSITY_CLASSES = {10: 0, 15: 10, 20: 15, 25: 20, 30: 25, 50: 30, 75: 50}
+DENSITY_TOP = 75
 
 ORACLE: dict[str, str] = {}
 NAMES = [

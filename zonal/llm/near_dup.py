@@ -8,7 +8,7 @@ variance; and offers of rank j only matter while some slot has none below, so it
 Equal sets are one class, of which only one member goes on. Slots are cut into bands; sets that
 agree on a band are a bucket. A bucket of n sets offers not n * n pairs but each set with at most
 four pivots: first with one of them, and after links are confirmed on the full sets and grouped by
-union-find, with the others where that left the two in different groups. So most sets move once or
+union-find, with the others where that left the two in different groups. So most texts move once or
 twice, however many bands and copies they have. Buckets that still hold several groups are then
 compared block against block, across groups only, and of those links one for a set and a group is
 kept. A signature never decides on a link: it only says which sets are worth confirming.
@@ -17,6 +17,7 @@ kept. A signature never decides on a link: it only says which sets are worth con
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache, lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -63,14 +64,23 @@ def shingles(text: bytes):
     return np.unique(mixed(rolled, 9))
 
 
-def packed(hashes) -> bytes:
-    """A set for the confirmation of links: its hashes, whole and in order."""
-    return hashes.astype("<u8").tobytes()
+@cache
+def _codecs():
+    import zstandard
 
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
 
+
+def packed(text: bytes) -> bytes:
+    """A text as it travels to where its links are confirmed: whole, but compressed. It takes a
+    third of the room of its set, whose hashes do not compress."""
+    return _codecs()[0].compress(text)
+
+
+@lru_cache(maxsize=2)
 def unpacked(data: bytes):
-    """The numbers of a packed set."""
-    return np.frombuffer(data, dtype="<u8")
+    """The set of a packed text. Sorted pairs ask for one of their two texts again and again."""
+    return shingles(_codecs()[1].decompress(data))
 
 
 def signatures(elements, doc, docs: int):
@@ -122,15 +132,15 @@ def _sketches(batch, at: int, text: int):
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                 pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype="i4") * BANDS, pa.array(key.view("i8").ravel())),
                 pa.array([p.tobytes() for p in (slots & np.uint64(255)).astype("u1")], pa.binary()),
-                pa.array([packed(s) for s in sets], pa.binary()),
+                pa.array([packed(t or b"") for t in held], pa.binary()),
             ],
-            ["doc_id", "n_shingles", "set_key", "bands", "prints", "shingles"],
+            ["doc_id", "n_shingles", "set_key", "bands", "prints", "packed"],
         )
 
 
 def sketch(docs: DataFrame) -> DataFrame:
     """One written row per document: doc_id, row_id, n_shingles, set_key (128 bits over the set),
-    bands, prints (a byte per slot) and the full set."""
+    bands, prints (a byte per slot) and the whole text, packed."""
     ship(docs.sparkSession)
 
     def run(batches):
@@ -138,7 +148,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             yield from _sketches(batch, 0, 1)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        released(run), "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, prints binary, shingles binary"
+        released(run), "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, prints binary, packed binary"
     )
     with small_batches(docs.sparkSession):
         return stage(rows.withColumn("row_id", F.monotonically_increasing_id()))
@@ -188,10 +198,10 @@ def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def linked(x: bytes, y: bytes) -> bool:
-    """Whether two packed sets are linked."""
+    """Whether the sets of two packed texts are linked."""
+    x, y = unpacked(x), unpacked(y)
     if 100 * min(len(x), len(y)) < PERCENT * max(len(x), len(y)):
         return False
-    x, y = unpacked(x), unpacked(y)
     common = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * common >= PERCENT * (len(x) + len(y) - common)
 
@@ -364,7 +374,7 @@ def group(sketches: DataFrame, likely: float = LIKELY) -> DataFrame:
     stars = stars.where(F.least("size", "pivot.size") * 100 >= F.greatest("size", "pivot.size") * PERCENT)
     ends = [F.least("row", "pivot.row").alias("a"), F.greatest("row", "pivot.row").alias("b")]
     stars = stage(stars.groupBy(*ends).agg(F.min("turn").alias("turn")))
-    sets = sketches.select(F.col("row_id").alias("row"), F.col("shingles").alias("value"))
+    sets = sketches.select(F.col("row_id").alias("row"), F.col("packed").alias("value"))
     prints = sketches.select(F.col("row_id").alias("row"), F.col("prints").alias("value"))
     marks = sketches.select(F.col("row_id").alias("row"), F.struct("prints", "bands", "n_shingles").alias("value"))
 

@@ -1,7 +1,9 @@
 """Chat formatting with a loss mask aligned to tokens.
 
 A conversation is rendered whole, noting where each text lies, and encoded once. The tokens'
-offsets and the turns' spans are both sorted, so the tokens of a turn are two binary searches.
+offsets and the turns' spans are both sorted, so the tokens of a turn are two binary searches. The
+marks of turns are cut off before the tokenizer's own rules see the text, so no token reaches across
+the border of a text, and the mask holds all of a learned text and nothing else.
 
 A turn is `<turn ROLE>TEXT</turn>` and a line end. Inside role and text a backslash is doubled
 and whatever could open or close a turn gets a backslash before it, so any text survives and
@@ -23,6 +25,9 @@ ESCAPE = r"\\\g<0>"
 ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 TURN = re.compile(r"<turn ((?:[^\\>]|\\.)*+)>((?:[^\\<]++|\\.|<(?!/?turn))*+)</turn>\n", re.DOTALL)
 
+# What the tokenizer takes as pieces of their own: marks, and escapes, lest one be taken for a mark.
+PIECE = r"\\[\s\S]|<turn (?:[^\\>]|\\[\s\S])*>|</turn>\n"
+
 COLUMNS = (
     "conv_id bigint, n_turns bigint, formatted string, tokens array<int>, loss_mask array<tinyint>, "
     "loss_spans array<struct<first:int,last:int>>"
@@ -66,9 +71,8 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 
 def loss_of(spans, starts, ends, learned: frozenset):
-    """Mask over tokens, and the spans of characters under it. A token is under the mask when it
-    shares a character with a learned text; a token across the border of a text counts, and the
-    span says which of its characters do."""
+    """Mask over tokens, and the spans of characters under it, one for a learned text: those of
+    the tokens that lie inside the text, as they stand."""
     import numpy as np
 
     mask = np.zeros(len(starts), dtype="i1")
@@ -76,11 +80,11 @@ def loss_of(spans, starts, ends, learned: frozenset):
     for first, last, role in spans:
         if role not in learned or first == last:
             continue
-        i = int(np.searchsorted(ends, first, "right"))
-        j = int(np.searchsorted(starts, last, "left"))
+        i = int(np.searchsorted(starts, first, "left"))
+        j = int(np.searchsorted(ends, last, "right"))
         if i < j:
             mask[i:j] = 1
-            under.append((max(first, int(starts[i])), min(last, int(ends[j - 1]))))
+            under.append((int(starts[i]), int(ends[j - 1])))
     return mask, under
 
 
@@ -140,20 +144,28 @@ def _bundles(conversations, most: int = 1 << 18):
         yield bundle
 
 
-def _encoded(bundle, tokenizer: str, learned: frozenset):
+def encoder(tokenizer: str):
+    """The tokenizer of a file, which never joins the marks of a turn to its text."""
     import os
 
-    import numpy as np
-    import pyarrow as pa
-
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
+    from tokenizers import Regex, Tokenizer, pre_tokenizers
 
     if tokenizer not in _encoders:
         known = Tokenizer.from_file(tokenizer)
         known.encode_special_tokens = True  # control strings of the tokenizer are text here
+        cut = pre_tokenizers.Split(Regex(PIECE), "isolated")
+        own = known.pre_tokenizer
+        known.pre_tokenizer = cut if own is None else pre_tokenizers.Sequence([cut, own])
         _encoders[tokenizer] = known
-    encodings = _encoders[tokenizer].encode_batch([b[1] for b in bundle], add_special_tokens=False)
+    return _encoders[tokenizer]
+
+
+def _encoded(bundle, tokenizer: str, learned: frozenset):
+    import numpy as np
+    import pyarrow as pa
+
+    encodings = encoder(tokenizer).encode_batch([b[1] for b in bundle], add_special_tokens=False)
     columns: dict = {n: [] for n in ("conv_id", "n_turns", "formatted", "tokens", "loss_mask", "loss_spans")}
     for (conv, formatted, spans), encoding in zip(bundle, encodings):
         offsets = np.array(encoding.offsets, dtype="i8").reshape(-1, 2)

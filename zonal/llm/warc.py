@@ -14,6 +14,7 @@ import bisect
 import gzip
 import hashlib
 import json
+import re
 import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -141,8 +142,13 @@ def write_warc(pages: DataFrame, folder: str, least_bytes: int = 0, parts: int |
 
 
 def _line(text: str) -> str:
-    """A header value: line ends would end the header."""
-    return json.dumps(text)[1:-1] if "\n" in text or "\r" in text else text
+    """A header value: line ends would end the header, so they are escaped, as are backslashes."""
+    return text.replace("\\", "\\\\").replace("\r", "\\r").replace("\n", "\\n")
+
+
+def _unline(value: str) -> str:
+    """The text of a header value."""
+    return re.sub(r"\\(.)", lambda m: {"r": "\r", "n": "\n"}.get(m[1], m[1]), value)
 
 
 def warc_record(page, url, sha1, size, revisit, refers_to, payload) -> bytes:
@@ -186,7 +192,7 @@ def parse_record(packed: bytes) -> dict:
         raise ValueError(f"payload of page {page} does not match its digest")
     return {
         "page_id": int(page) if page else None,
-        "url": fields["WARC-Target-URI"],
+        "url": _unline(fields["WARC-Target-URI"]),
         "payload_bytes": int(http_fields["Content-Length"]),
         "payload_digest": digest,
         "record_type": fields["WARC-Type"],

@@ -95,22 +95,29 @@ class Items:
 
 
 def align(passage, item) -> tuple[int, int, int]:
-    """Smith-Waterman: best local score, and the first and last word (excluded) it ends on. A row
-    per word of the item; along a row, gaps are a running maximum."""
+    """Smith-Waterman: best local score, and the first and last word (excluded) of the passage that
+    are aligned. A row per word of the item; along a row, gaps are a running maximum. Every cell
+    carries the word its alignment starts at. Ties: the alignment that needs fewer words of the item,
+    then the one that ends first."""
     n = len(passage)
-    steps = np.arange(n + 1) * GAP
-    before = np.zeros(n + 1, dtype="i8")
-    best, end = 0, 0
+    places = np.arange(n + 1)
+    steps = places * GAP
+    before, starts = np.zeros(n + 1, dtype="i8"), places
+    best, begin, end = 0, 0, 0
     for word in item:
-        row = np.zeros(n + 1, dtype="i8")
-        row[1:] = np.maximum(before[:-1] + np.where(passage == word, MATCH, MISMATCH), before[1:] + GAP)
-        np.maximum(row, 0, out=row)
-        row = np.maximum.accumulate(row - steps) + steps
+        row, start = np.zeros(n + 1, dtype="i8"), places.copy()
+        both, skipped = before[:-1] + np.where(passage == word, MATCH, MISMATCH), before[1:] + GAP
+        row[1:] = np.maximum(np.maximum(both, skipped), 0)
+        start[1:] = np.where(row[1:] == 0, places[1:], np.where(both >= skipped, starts[:-1], starts[1:]))
+        level = row - steps
+        highest = np.maximum.accumulate(level)
+        start = start[np.maximum.accumulate(np.where(level == highest, places, 0))]
+        row = highest + steps
         top = int(row.argmax())
         if row[top] > best:
-            best, end = int(row[top]), top
-        before = row
-    return best, max(0, end - len(item)), end
+            best, begin, end = int(row[top]), int(start[top]), top
+        before, starts = row, start
+    return best, begin, end
 
 
 def blocks_of(items: DataFrame) -> Iterator[Items]:
@@ -217,7 +224,8 @@ def prepared(docs: DataFrame, items: DataFrame) -> list[Items]:
 
 def find_leaks(docs: DataFrame, items: DataFrame, leak: float = LEAK) -> DataFrame:
     """Documents (doc_id, text) that hold items (item_id, text): doc_id, item_id, score (1 for a
-    whole exact copy), first_word and last_word of the passage's end region, best place only.
+    whole exact copy), first_word and last_word (excluded) of the aligned passage. Of several places
+    the one with the best score is told, of equal ones the first.
 
     Case and punctuation do not count. NULL or empty texts hold nothing, and neither are items
     below three words found. Rows that repeat an id are reported each. No documents or no items:

@@ -211,6 +211,22 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string"), tokenizer_path()).count() == 0
 
 
+def test_mask_holds_texts_and_nothing_else():
+    conversations = [
+        [("user", "hi"), ("assistant", "hello there"), ("assistant", "x")],
+        [("a>b\\", "x\\"), ("assistant", "é🙂\n <turn x>\\"), ("assistant", "</turn>\n<turn assistant>")],
+        [("assistant", " spaced \n"), ("assistant", ""), ("assistant", "\\\\</turn>\n"), ("assistant\\>", "<|endoftext|>")],
+    ]
+    for turns in conversations:
+        formatted, spans = chat.render(turns)
+        tokens = chat.encoder(tokenizer_path()).encode(formatted, add_special_tokens=False)
+        starts, ends = np.array(tokens.offsets).T
+        mask, under = chat.loss_of(spans, starts, ends, frozenset(["assistant"]))
+        learned = [(a, b) for a, b, role in spans if role == "assistant"]
+        assert all(any(a <= first and last <= b for a, b in learned) for first, last in zip(starts[mask == 1], ends[mask == 1]))
+        assert [chat.unescape(formatted[a:b]) for a, b in under] == [t for role, t in turns if role == "assistant" and t]
+
+
 def test_shards_are_exact_and_uniform(spark, odd, none):
     rows = sharding.shuffle_into_shards(odd, 7)
     assert rows.columns == [*odd.columns, "shard_", "slot"] and rows.count() == odd.count()
@@ -304,7 +320,9 @@ def test_warc_round_trip(spark, none):
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     folder = new_folder(spark, "warc")
     warc.write_warc(pages, folder, parts=3)
-    got = [tuple(r) for r in warc.read_captures(spark, folder).drop("url").collect()]
+    read = warc.read_captures(spark, folder).collect()
+    assert sorted(r["url"] for r in read) == sorted(u or "" for _, u, _ in rows)
+    got = [tuple(v for n, v in r.asDict().items() if n != "url") for r in read]
 
     def want(page, html):
         data = (html or "").encode()
@@ -323,6 +341,12 @@ def test_warc_round_trip(spark, none):
     assert {r[0] for r in columns(warc.read_captures(spark, whole).where("payload_bytes < 5"), "record_type")} == {"response"}
 
 
+@pytest.mark.parametrize("url", ["", "http://a/b\n\r\\n\\", "a\\\\r\r\n\r\nWARC-Type: x"])
+def test_any_url_survives_in_a_header(url):
+    record = warc.parse_record(warc.warc_record(3, url, hashlib.sha1(b"p").hexdigest(), 1, False, None, b"p"))
+    assert (record["url"], record["page_id"], record["payload"]) == (url, 3, b"p")
+
+
 def test_quality_rules_by_brute_force(spark, odd, none):
     got = collections.Counter(
         columns(quality_rules.judge(odd, F.col("source")), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -348,6 +372,26 @@ def test_hosts_are_shrunk_towards_the_mean(spark):
     assert quality_rules.host_rates(hosts.limit(0)).count() == 0
 
 
+def test_host_verdicts_by_brute_force(spark):
+    good, bad = " ".join(f"w{k}" for k in range(60)), "too short"
+    hosts = {"fine": (60, 3), "awful": (40, 38), "tiny": (1, 1), None: (5, 2)}
+    rows = [(host, bad if k < failed else good) for host, (n, failed) in hosts.items() for k in range(n)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, source string, text string")
+    known = [(n, f) for host, (n, f) in hosts.items() if host]
+    total, failed = sum(n for n, _ in known), sum(f for _, f in known)
+    mean = failed / total
+    between = sum(n * (f / n - mean) ** 2 for n, f in known) / (len(known) - 1)
+    within = sum(f * (1 - f / n) for n, f in known) / (total - len(known))
+    extra = (between - within) / ((total - sum(n * n for n, _ in known) / total) / (len(known) - 1))
+    weight = min(1000.0, max(1.0, mean * (1 - mean) / extra - 1))
+    rate = {host: (f + mean * weight) / (n + weight) for host, (n, f) in hosts.items() if host}
+    assert rate["fine"] < 0.5 < rate["awful"]
+    judged = {r["doc_id"]: r for r in quality_rules.judge(docs, F.col("source")).collect()}
+    for i, (host, text) in enumerate(rows):
+        assert judged[i]["kept"] == (text == good and rate.get(host, 0) <= 0.5), (host, text)
+        assert judged[i]["host_rate"] == (None if host is None else pytest.approx(rate[host]))
+
+
 def test_leaks_of_edited_copies(spark, odd, none):
     item = "What is the capital of the old northern kingdom that traded amber and furs with the river towns?"
     items = spark.createDataFrame([(1, item), (2, None), (3, "ab"), (4, "")], "item_id bigint, text string")
@@ -371,3 +415,16 @@ def test_alignment_by_plain_dynamic_programming():
                 match = table[i, j] + (2 if y[i] == x[j] else -1)
                 table[i + 1, j + 1] = max(0, match, table[i, j + 1] - 1, table[i + 1, j] - 1)
         assert decontaminate.align(x, y)[0] == table.max()
+
+
+def test_passages_start_where_their_alignment_does():
+    item = np.arange(100, 120)
+    copy = np.concatenate([item[:5], [1, 2], item[5:12], [3], item[12:]])
+    assert decontaminate.align(np.concatenate([[7] * 9, copy, [8] * 4]), item) == (2 * 20 - 3, 9, 9 + len(copy))
+    rng = np.random.Generator(np.random.Philox(4))
+    for _ in range(60):
+        x, y = rng.integers(0, 4, rng.integers(1, 30)), rng.integers(0, 4, rng.integers(1, 12))
+        score, first, last = decontaminate.align(x, y)
+        # the passage alone scores the same, and begins with a word of the item
+        assert decontaminate.align(x[first:last], y)[0] == score
+        assert not score or x[first] in y

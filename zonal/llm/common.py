@@ -75,6 +75,22 @@ def sift(table: DataFrame, key: str, wanted: DataFrame, total: int) -> DataFrame
     of `wanted`: tested in place against a bitmap of hashed keys before anything is shuffled. The
     bitmap has at most 16 MB, whatever the number of keys; it lets more through when it fills up,
     and never drops a key that is wanted."""
+    met, hit = _met(table, key, wanted, total, "inner")
+    return met.where(hit).select(*table.columns)
+
+
+def without(table: DataFrame, key: str, gone: DataFrame, total: int) -> DataFrame:
+    """Rows of `table` whose key is not among the `total` keys of `gone`. Only what the bitmap of
+    `sift` takes for gone is shuffled and looked up; all other rows stay where they are. `table` is
+    read twice; rows without a key are kept."""
+    met, hit = _met(table, key, gone, total, "left")
+    hit = F.coalesce(hit, F.lit(False))
+    maybe = met.where(hit).select(*table.columns).join(gone.select(key), key, "left_anti")
+    return met.where(~hit).select(*table.columns).unionByName(maybe.select(*table.columns))
+
+
+def _met(table: DataFrame, key: str, wanted: DataFrame, total: int, how: str) -> tuple[DataFrame, Column]:
+    """`table` joined to the bitmap of the keys of `wanted`, and whether a row's bit is set."""
     bits = 1 << min(27, max(15, (16 * total).bit_length()))
     slot = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
     slots = wanted.select(slot.alias("slot"))
@@ -82,10 +98,9 @@ def sift(table: DataFrame, key: str, wanted: DataFrame, total: int) -> DataFrame
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap")
     )
     placed = table.withColumn("bucket", F.bitmap_bucket_number(slot)).withColumn("bit", F.bitmap_bit_position(slot).cast("int"))
-    met = placed.join(F.broadcast(maps), "bucket")
     byte = F.expr("cast(conv(hex(substring(bitmap, bit div 8 + 1, 1)), 16, 10) as int)")
-    hit = F.expr("1 << (bit % 8)").cast("int")
-    return met.where(byte.bitwiseAND(hit) != 0).select(*table.columns)
+    mask = F.expr("1 << (bit % 8)").cast("int")
+    return placed.join(F.broadcast(maps), "bucket", how), byte.bitwiseAND(mask) != 0
 
 
 def in_order(df: DataFrame, *order) -> DataFrame:

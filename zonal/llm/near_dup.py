@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonal.llm.common import look_up, pieces, released, ship, sift, small_batches, spread_join
+from zonal.llm.common import look_up, pieces, released, ship, sift, small_batches, spread_join, without
 from zonal.llm.words import mixed
 from zonal.operators.staging import stage
 
@@ -352,8 +352,13 @@ def group(sketches: DataFrame, likely: float = LIKELY) -> DataFrame:
         F.min("row_id").alias("row"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")
     )
     classes = stage(classes)
-    ones = classes.select("row")
-    bands = stage(sketches.select(F.col("row_id").alias("row"), F.col("n_shingles").alias("size"), "bands").join(ones, "row", "left_semi"))
+    # all members of a class but the first drop out; what is no copy is not moved to find that out
+    repeated = classes.where("n > 1").select("set_key", F.col("row").alias("first"), "n")
+    times, copies = repeated.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    members = stage(sift(filled.select(F.col("row_id").alias("row"), "set_key"), "set_key", repeated, times))
+    gone = stage(look_up(members, repeated, "set_key", copies, written=True).where("row <> first").select("row"))
+    sized = filled.select(F.col("row_id").alias("row"), F.col("n_shingles").alias("size"), "bands")
+    bands = stage(without(sized, "row", gone, copies))
     entries = bands.select("row", "size", F.explode("bands").alias("band"))
     # most bands belong to one set alone: count them with nothing else in the shuffle, and go on
     # with entries of the others

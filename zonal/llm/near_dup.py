@@ -7,11 +7,11 @@ variance; and offers of rank j only matter while some slot has none below, so it
 
 Equal sets are one class, of which only one member goes on. Slots are cut into bands; sets that
 agree on a band are a bucket. A bucket of n sets offers not n * n pairs but each set with at most
-four pivots: first with one of them, and after links are confirmed on the full sets and grouped by
-union-find, with the others where that left the two in different groups. So most texts move once or
-twice, however many bands and copies they have. Buckets that still hold several groups are then
-compared block against block, across groups only, and of those links one for a set and a group is
-kept. A signature never decides on a link: it only says which sets are worth confirming.
+four pivots. Of all its pairs a set first gets the one with most bands in common, and after links
+are confirmed on the full sets and grouped by union-find, the others where that left the two in
+different groups. So most texts move once or twice, however many bands and copies they have.
+Buckets that still hold several groups are then compared block against block, across groups only,
+and of those links one for a set and a group is kept. A signature never decides on a link: it only says which sets are worth confirming.
 """
 
 from __future__ import annotations
@@ -374,11 +374,14 @@ def group(sketches: DataFrame, likely: float = LIKELY) -> DataFrame:
     buckets = stage(buckets.where("n > 1"))
     pivots = buckets.select("band", "n", F.col("n").alias("members"), F.array_compact(F.array_distinct(F.array("p0", "p1", "p2", "p3"))).alias("pivots"))
     held = stage(look_up(entries, pivots, "band", total, written=True).where("pivots is not null"))
-    stars = held.select("row", "size", F.posexplode("pivots").alias("turn", "pivot")).where("row <> pivot.row")
+    stars = held.select("row", "size", F.explode("pivots").alias("pivot")).where("row <> pivot.row")
     # sets whose sizes alone are too far apart share too little
     stars = stars.where(F.least("size", "pivot.size") * 100 >= F.greatest("size", "pivot.size") * PERCENT)
     ends = [F.least("row", "pivot.row").alias("a"), F.greatest("row", "pivot.row").alias("b")]
-    stars = stage(stars.groupBy(*ends).agg(F.min("turn").alias("turn")))
+    stars = stage(stars.groupBy(*ends).agg(F.count(F.lit(1)).alias("bands")))
+    # first every set with the one it shares most bands with; ties to the smaller row
+    closest = stars.groupBy("b").agg(F.max(F.struct("bands", (-F.col("a")).alias("back"))).alias("best"))
+    closest = stage(closest.select((-F.col("best.back")).alias("a"), "b"))
     sets = sketches.select(F.col("row_id").alias("row"), F.col("packed").alias("value"))
     prints = sketches.select(F.col("row_id").alias("row"), F.col("prints").alias("value"))
     marks = sketches.select(F.col("row_id").alias("row"), F.struct("prints", "bands", "n_shingles").alias("value"))
@@ -386,8 +389,8 @@ def group(sketches: DataFrame, likely: float = LIKELY) -> DataFrame:
     def confirmed(pairs: DataFrame) -> DataFrame:
         return tested(tested(pairs, prints, alike(likely)), sets, linked)
 
-    known = components(confirmed(stars.where("turn = 0").select("a", "b")))
-    more = confirmed(apart(stars.where("turn > 0").select("a", "b"), known))
+    known = components(confirmed(closest))
+    more = confirmed(apart(stars.select("a", "b").join(closest, ["a", "b"], "left_anti"), known))
     known = components(known.select(F.col("node").alias("a"), F.col("group").alias("b")).unionByName(more))
 
     # what stars leave open: buckets with more than one group, among sets that are no pivots

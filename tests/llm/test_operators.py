@@ -428,3 +428,13 @@ def test_passages_start_where_their_alignment_does():
         # the passage alone scores the same, and begins with a word of the item
         assert decontaminate.align(x[first:last], y)[0] == score
         assert not score or x[first] in y
+
+
+def test_rows_without_gone_keys(spark):
+    from zonal.llm.common import without
+
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (5, "e")], "k bigint, v string")
+    gone = spark.createDataFrame([(2,), (9,)], "k bigint")
+    assert sorted(r.v for r in without(rows, "k", gone, 2).collect()) == ["a", "d", "e"]
+    assert without(rows, "k", gone.limit(0), 0).count() == 5
+    assert without(rows.limit(0), "k", gone, 2).count() == 0

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,3 +166,23 @@ def test_cell_map_splits_crowded_segments(spark, value):
 def test_bad_rule(spark):
     with pytest.raises(ValueError):
         cov.coverage_spans(frame(spark, []), TINY, rule="nearest")
+
+
+@pytest.mark.parametrize("rule", RULES)
+def test_tasks_grow_with_the_pixel_rows(spark, rule, monkeypatch):
+    from zonal.operators import two_level
+
+    monkeypatch.setattr(cov, "ROWS_PER_TASK", 16)
+    monkeypatch.setattr(two_level, "ROWS_PER_TASK", 16)
+    rows = random_rows(29, 24)
+    df = frame(spark, rows)
+    tasks = -(-cov.edge_rows(cov.polygon_edges(df, TINY.x_to_px, TINY.y_to_px), TINY.height) // 16)
+    assert tasks > 50
+    for made in (cov.coverage_cells(df, TINY, rule), two_level.two_level_cells(df, TINY, rule)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        # parts come together by the session's number, all that grows with pixel rows by the other
+        assert set(re.findall(r"hashpartitioning\([^)]*, (\d+)\)", plan)) <= {"8", str(tasks)}
+        assert plan.count(f", {tasks}), REPARTITION_BY_NUM") >= 3
+    got = covered(df, rule)
+    for list_id, location_id, rings in rows:
+        assert sorted(got.get((list_id, location_id), [])) == sorted(pixels(rings, rule))

@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonal.functions.grid import Grid
-from zonal.operators.coverage import LOC, PART, RULES, _clip, _touched, _x_at, disjoint_spans, polygon_edges, spread_edges
-from zonal.operators.staging import stage
+from zonal.operators.coverage import (
+    LOC, PART, ROWS_PER_TASK, RULES, _clip, _touched, _x_at, disjoint_spans, edge_rows, polygon_edges, spread_edges,
+)
+from zonal.operators.staging import spread, stage
 
 STRETCH = (*PART, "stretch")
 
@@ -72,30 +74,32 @@ def _events(pieces: DataFrame, grid: Grid) -> DataFrame:
     )
 
 
-def _border_spans(events: DataFrame, grid: Grid) -> DataFrame:
-    """Covered spans of pixel rows inside stretches."""
+def _border_spans(events: DataFrame, grid: Grid, n: int) -> DataFrame:
+    """Covered spans of pixel rows inside stretches, `n` rows in all."""
     top, bottom = _band_rows(grid)
     begun = events.where((F.col("kind") == 0) & (F.col("seg") == F.col("first")) & F.col("inside"))
     left = _clip(F.col("first") * F.lit(grid.block), grid.width)
     begun = begun.select(*STRETCH, "last", F.explode(F.sequence(top, bottom - 1)).alias("r"), left.alias("c"))
     crossed = events.where("kind = 1").select(*STRETCH, "last", "r", "c")
-    turns = begun.unionByName(crossed).groupBy(*STRETCH, "last", "r", "c").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
+    turns = spread(begun.unionByName(crossed), [*LOC, "slot", "band"], n, ROWS_PER_TASK)
+    turns = turns.groupBy(*STRETCH, "last", "r", "c").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1")
     along = Window.partitionBy(*STRETCH, "last", "r").orderBy("c")
     right = _clip((F.col("last") + 1) * F.lit(grid.block), grid.width)
     spans = turns.select(
-        *LOC, "band", "r", F.col("c").alias("c0"), F.least(F.coalesce(F.lead("c").over(along), right), right).alias("c1"),
+        *LOC, "slot", "band", "r", F.col("c").alias("c0"), F.least(F.coalesce(F.lead("c").over(along), right), right).alias("c1"),
         F.row_number().over(along).alias("nth"),
     )
     return spans.where((F.col("nth") % 2 == 1) & (F.col("c0") < F.col("c1"))).drop("nth")
 
 
-def _whole_segments(events: DataFrame, grid: Grid) -> DataFrame:
-    """Segments between stretches that a part covers whole."""
+def _whole_segments(events: DataFrame, grid: Grid, n: int) -> DataFrame:
+    """Segments between stretches that a part covers whole, sent to where the spans of their band are."""
     ends = events.where((F.col("kind") == 0) & (F.col("seg") == F.col("last")) & F.col("beyond"))
     first = F.greatest(F.col("last") + 1, F.lit(0))
     last = F.least(F.coalesce("following", F.lit(grid.cols)), F.lit(grid.cols)) - 1
-    inner = ends.select(*LOC, "band", F.explode(F.when(first <= last, F.sequence(first, last))).alias("key_col"))
-    return inner.distinct()
+    inner = spread(ends.select(*LOC, "band", first.alias("first"), last.alias("last")), [*LOC, "band"], n, ROWS_PER_TASK)
+    inside = F.when(F.col("first") <= F.col("last"), F.sequence(F.col("first"), F.col("last")))
+    return inner.select(*LOC, "band", F.explode(inside).alias("key_col")).distinct()
 
 
 def two_level_cells(locations: DataFrame, grid: Grid, rule: str = "center") -> DataFrame:
@@ -105,12 +109,13 @@ def two_level_cells(locations: DataFrame, grid: Grid, rule: str = "center") -> D
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     edges = polygon_edges(locations, grid.x_to_px, grid.y_to_px)
-    pieces = spread_edges(edges, grid.block).where(F.col("band").between(0, grid.rows - 1))
+    n = edge_rows(edges, grid.height)
+    pieces = spread_edges(edges, grid.block, n).where(F.col("band").between(0, grid.rows - 1))
     events = stage(_events(pieces, grid))  # read three times
-    spans = _border_spans(events, grid)
+    spans = _border_spans(events, grid, n)
     if rule == "all_touched":
         spans = spans.unionByName(_touched(pieces, grid.width, grid.height, grid.block))
-    spans = disjoint_spans(spans, grid.width)
+    spans = disjoint_spans(spans, grid.width, n)
     size = F.lit(grid.block)
     first, last = F.floor(F.col("c0") / size).cast("int"), F.floor((F.col("c1") - 1) / size).cast("int")
     cut = spans.withColumn("key_col", F.explode(F.sequence(first, last)))
@@ -119,7 +124,7 @@ def two_level_cells(locations: DataFrame, grid: Grid, rule: str = "center") -> D
     i1 = offset + F.least(F.col("c1"), (F.col("key_col") + 1) * size)
     run = F.struct(i0.cast("int").alias("i0"), i1.cast("int").alias("i1"))
     runs = cut.select(*LOC, "band", "key_col", run.alias("run"), F.lit(False).alias("whole"))
-    inner = _whole_segments(events, grid)
+    inner = _whole_segments(events, grid, n)
     flags = inner.select(*LOC, "band", "key_col", F.lit(None).cast(runs.schema["run"].dataType).alias("run"), F.lit(True).alias("whole"))
     grouped = runs.unionByName(flags).groupBy(*LOC, "band", "key_col").agg(
         F.max("whole").alias("whole"), F.sort_array(F.collect_list("run")).alias("runs"), F.sum(F.col("run.i1") - F.col("run.i0")).alias("n")

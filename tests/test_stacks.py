@@ -271,3 +271,39 @@ def test_class_maps_hold_any_code(world):  # noqa: F811
         assert per_list[r["list_id"]][r["code"]] == pytest.approx(r["a"])
     pixels = lay.covered_values(locations, coded, ["land"], TINY).where("land is not null")
     assert areas.count() == pixels.select("list_id", "location_id", "land").distinct().count()
+
+
+def test_run_tiles_are_merged_inside_their_rows(spark):
+    rng = random.Random(31)
+    tile = lambda: [rng.choice([None, 1, 1, 2, 7]) for _ in range(60)]
+    rows = [(n, tile() if n % 5 else None, tile() if n % 7 else None) for n in range(40)]
+    held = stage(spark.createDataFrame(rows, "segment int, a array<int>, b array<int>"))
+    tiles = stage(held.select("segment", *[run_tiles.to_runs(F.col(c)).alias(c) for c in "ab"]))
+    by = ["segment"]
+    for made in (run_tiles.multiply(tiles, by, "a", "b"), run_tiles.greater(tiles, by, "a", 1), run_tiles.merged(tiles, by, "a", "b")):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort" not in plan
+    cells = {}
+    for r in run_tiles.multiply(tiles, by, "a", "b").collect():
+        cells.setdefault(r["segment"], []).extend((i, r["v"]) for i in range(r["i0"], r["i1"]))
+    for n, a, b in rows:
+        want = [(i, x * y) for i, (x, y) in enumerate(zip(a or [], b or [])) if x is not None and y is not None]
+        assert sorted(cells.get(n, [])) == want
+
+
+def test_runs_of_doubles_and_of_nothing(spark):
+    nan = float("nan")
+    rows = [(1, [0.5, 0.5, None, nan, nan, -1.25]), (2, []), (3, None), (4, [None, None])]
+    df = spark.createDataFrame(rows, "n int, cells array<double>")
+    got = {r["n"]: r["runs"] for r in df.select("n", run_tiles.to_runs(F.col("cells"), "double").alias("runs")).collect()}
+    assert [(r["i0"], r["i1"], repr(r["v"])) for r in got[1]] == [(0, 2, "0.5"), (3, 5, "nan"), (5, 6, "-1.25")]
+    assert got[2] == [] and got[3] is None and got[4] == []
+
+
+def test_tiles_under_coverage_are_never_broadcast(spark):
+    cells = spark.createDataFrame([(1, 2, 3, 4, 7, [(0, 3), (5, 6)])], "list_id int, location_id int, key_col int, key_row int, segment int, runs array<struct<i0:int,i1:int>>")
+    tiles = spark.createDataFrame([(7, [(1, 6, 9)])], "segment int, t array<struct<i0:int,i1:int,v:int>>")
+    by = ["list_id", "location_id", "key_col", "key_row"]
+    made = run_tiles.masked_by_coverage(cells, tiles, by, "t", ("segment",))
+    assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["i0"], r["i1"], r["v"]) for r in made.collect()) == [(1, 3, 9), (5, 6, 9)]

@@ -3,26 +3,122 @@
 A tile is an array of runs [i0, i1) with a value, in row-major order; cells without data are in no
 run. Two tiles are merged like sorted lists: the ends of all runs cut the tile into pieces on which
 both are constant. A piece costs the same whatever its length, so the work grows with the number
-of runs. Pieces are rows; on a table in buckets of `segment` the merge needs no exchange.
+of runs. Both tiles lie in one row, and are merged and joined again inside it: nothing is sent or
+sorted. Where runs begin and end is found by Arrow functions over the tiles of a batch, and what
+becomes of the values is Spark's own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+import functools
+from collections.abc import Callable
 
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-def to_runs(cells: Column) -> Column:
-    """An array of cells to its runs, in passes over the cells."""
-    # lambdas see elements only: an array they looked into would be made again for each of them
-    before = F.concat(F.array(F.lit(None).cast("int")), cells)
-    paired = F.zip_with(cells, F.slice(before, 1, F.size(cells)), lambda x, b: F.struct(x.alias("v"), x.eqNullSafe(b).alias("same")))
-    numbered = F.transform(paired, lambda p, i: F.struct(i.alias("i0"), p["v"].alias("v"), ((i > 0) & p["same"]).alias("same")))
-    starts = F.filter(numbered, lambda e: ~e["same"])
-    ends = F.concat(F.transform(starts, lambda e: e["i0"]), F.array(F.size(cells)))
-    ends = F.slice(ends, 2, F.size(cells) + 1)
-    runs = F.zip_with(starts, ends, lambda e, i1: F.struct(e["i0"].alias("i0"), i1.alias("i1"), e["v"].alias("v")))
-    return F.filter(runs, lambda r: r["v"].isNotNull())
+from zonal.functions.grid import KEY
+from zonal.operators.layers import ROWS_PER_TASK
+from zonal.operators.staging import group_sizes, spread_join, stage
+
+
+def _arrow_functions():
+    """Functions of Arrow arrays that find where runs begin and end. They lie in here, so that they travel to
+    the tasks as they are: executors need not have this package."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    def listed(rows, lists: int, **columns):
+        """An Arrow array of `lists` lists of structs, from columns of them and the list of each."""
+        offsets = np.searchsorted(rows, np.arange(lists + 1)).astype("int32")
+        made = pa.StructArray.from_arrays([pa.array(c) for c in columns.values()], list(columns))
+        return pa.ListArray.from_arrays(pa.array(offsets), made)
+
+    def unlisted(lists):
+        """The elements of an Arrow array of lists, the number of the list that each is in, and its place there."""
+        rows = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype("int64")
+        first = np.searchsorted(rows, np.arange(len(lists)))
+        return pc.list_flatten(lists), rows, np.arange(len(rows)) - first[rows]
+
+    def like_the_one_before(values, rows):
+        """Whether an element equals the one before it in its list; a NaN equals a NaN, and NULL a NULL."""
+        none = values.is_null().to_numpy(zero_copy_only=False)
+        held = pc.fill_null(values, 0).to_numpy(zero_copy_only=False)
+        same = np.zeros(len(rows), bool)
+        equal = (held[1:] == held[:-1]) | ((held[1:] != held[1:]) & (held[:-1] != held[:-1]))
+        same[1:] = equal & (none[1:] == none[:-1]) & (rows[1:] == rows[:-1])
+        return same, none
+
+    def in_slices(find):
+        """`find` over slices of tiles with about a million elements together: its working memory."""
+
+        @functools.wraps(find)
+        def over(*lists):
+            elements = max(x.nbytes for x in lists) // 4
+            step = max(1, (len(lists[0]) << 20) // max(elements, 1))
+            parts = [find(*[x.slice(k, step) for x in lists]) for k in range(0, max(len(lists[0]), 1), step)]
+            return pa.concat_arrays(parts)
+
+        return over
+
+    @in_slices
+    def run_ends(cells: pa.Array) -> pa.Array:
+        values, rows, at = unlisted(cells)
+        same, none = like_the_one_before(values, rows)
+        starts = np.flatnonzero(~same)
+        lasts = np.append(starts[1:], len(rows))[: len(starts)] - 1
+        keep = ~none[starts]
+        starts, lasts = starts[keep], lasts[keep]
+        first, last = at[starts].astype("int32"), (at[lasts] + 1).astype("int32")
+        return listed(rows[starts], len(cells), i0=first, i1=last, v=values.take(pa.array(starts)))
+
+    @in_slices
+    def piece_ends(a0: pa.Array, a1: pa.Array, b0: pa.Array, b1: pa.Array) -> pa.Array:
+        """Pieces of two tiles, with the place of the run of each that holds the piece."""
+        sides, wide = [], 1
+        for begin, end in ((a0, a1), (b0, b1)):
+            first, rows, at = unlisted(begin)
+            first, last = [x.to_numpy(zero_copy_only=False).astype("int64") for x in (first, unlisted(end)[0])]
+            wide = max(wide, int(last.max(initial=0)) + 1)
+            sides.append((first, last, rows, at))
+        # tiles one after another on one axis
+        sides = [(first + rows * wide, last + rows * wide, at) for first, last, rows, at in sides]
+        cuts = np.unique(np.concatenate([x for first, last, _ in sides for x in (first, last)]))
+        begin, end = cuts[:-1], cuts[1:]
+        held = []
+        for first, last, at in sides:
+            run = np.searchsorted(first, begin, "right") - 1
+            found = run >= 0
+            found[found] = last[run[found]] > begin[found]
+            place = np.full(len(begin), -1, "int32")
+            place[found] = at[run[found]]
+            held.append(place)
+        keep = (held[0] >= 0) | (held[1] >= 0)
+        rows = begin[keep] // wide
+        a, b = [pa.array(x[keep], mask=x[keep] < 0) for x in held]
+        return listed(rows, len(a0), i0=(begin[keep] - rows * wide).astype("int32"), i1=(end[keep] - rows * wide).astype("int32"), a=a, b=b)
+
+    @in_slices
+    def joined_ends(i0: pa.Array, i1: pa.Array, v: pa.Array) -> pa.Array:
+        """Neighbours of one value made one run, with the place of the first of them."""
+        first, rows, at = unlisted(i0)
+        first, last = [x.to_numpy(zero_copy_only=False) for x in (first, unlisted(i1)[0])]
+        same, _ = like_the_one_before(unlisted(v)[0], rows)
+        same[1:] &= last[:-1] == first[1:]
+        starts = np.flatnonzero(~same)
+        lasts = np.append(starts[1:], len(rows))[: len(starts)] - 1
+        first, last = first[starts].astype("int32"), last[lasts].astype("int32")
+        return listed(rows[starts], len(i0), i0=first, i1=last, at=at[starts].astype("int32"))
+
+    return run_ends, piece_ends, joined_ends
+
+
+_run_ends, _piece_ends, _joined_ends = _arrow_functions()
+
+
+def to_runs(cells: Column, of: str = "int") -> Column:
+    """An array of cells of the type `of` to its runs."""
+    return F.when(cells.isNotNull(), F.arrow_udf(_run_ends, f"array<struct<i0:int,i1:int,v:{of}>>")(cells))
 
 
 def to_cells(runs: Column, size: int) -> Column:
@@ -38,32 +134,24 @@ def to_cells(runs: Column, size: int) -> Column:
     return F.flatten(F.zip_with(runs, ends, stretch))
 
 
-def merged(tiles: DataFrame, by: list[str], a: str, b: str) -> DataFrame:
-    """Pieces on which the tiles in columns `a` and `b` are constant: by, i0, i1 and both values,
-    NULL for no data. Pieces without data in both are left out."""
+def _met(tiles: DataFrame, by: list[str], a: str, b: str) -> tuple[DataFrame, Column]:
+    """The tiles in columns `a` and `b`, and the array of their pieces (i0, i1, a, b)."""
+    runs_a, runs_b = F.col(f"`{a}`"), F.col(f"`{b}`")
+    find = F.arrow_udf(_piece_ends, "array<struct<i0:int,i1:int,a:int,b:int>>")
+    ends = find(runs_a["i0"], runs_a["i1"], runs_b["i0"], runs_b["i1"])
 
-    def ends(name: str) -> Column:
-        """Where a run begins, and, before another run may begin there, where one ends."""
-        none = F.lit(None).cast("int")
+    def piece(e: Column) -> Column:
+        values = [F.get(runs, e[side])["v"].alias(side) for side, runs in (("a", runs_a), ("b", runs_b))]
+        return F.struct(e["i0"].alias("i0"), e["i1"].alias("i1"), *values)
 
-        def pair(run: Column) -> Column:
-            return F.array(
-                F.struct(run["i0"].alias("at"), F.lit(1).alias("begins"), F.lit(name).alias("side"), run["v"].alias("v")),
-                F.struct(run["i1"].alias("at"), F.lit(0).alias("begins"), F.lit(name).alias("side"), none.alias("v")),
-            )
+    return tiles.select(*by, runs_a, runs_b, ends.alias("pieces")), F.transform("pieces", piece)
 
-        return F.coalesce(F.flatten(F.transform(F.col(f"`{name}`"), pair)), F.array())
 
-    events = tiles.select(*by, F.inline(F.concat(ends(a), ends(b))))
-    along = Window.partitionBy(*by).orderBy("at", "begins")
-    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
-
-    def held(name: str) -> Column:
-        # a struct around the value: the end of a run is news too, and not skipped like a NULL
-        return F.last(F.when(F.col("side") == name, F.struct("v")), ignorenulls=True).over(so_far)["v"].alias(name)
-
-    pieces = events.select(*by, F.col("at").alias("i0"), F.lead("at").over(along).alias("i1"), held(a), held(b))
-    return pieces.where((F.col("i0") < F.col("i1")) & (F.col(f"`{a}`").isNotNull() | F.col(f"`{b}`").isNotNull()))
+def merged(tiles: DataFrame, by: list[str], a: str, b: str) -> DataFrame:
+    """Pieces on which the tiles in columns `a` and `b` are constant: by, i0, i1 and both values,
+    NULL for no data. Pieces without data in both are left out."""
+    met, pieces = _met(tiles, by, a, b)
+    return met.select(*by, F.inline(pieces).alias("i0", "i1", a, b))
 
 
 def pieces_of(tiles: DataFrame, by: list[str], name: str) -> DataFrame:
@@ -71,13 +159,13 @@ def pieces_of(tiles: DataFrame, by: list[str], name: str) -> DataFrame:
     return tiles.select(*by, F.inline(name))
 
 
-def joined(pieces: DataFrame, by: list[str]) -> DataFrame:
-    """Rows (by, i0, i1, v) with neighbours of one value made one run."""
-    along = Window.partitionBy(*by).orderBy("i0")
-    begins = ~(F.lag("i1").over(along).eqNullSafe(F.col("i0")) & F.lag("v").over(along).eqNullSafe(F.col("v")))
-    numbered = pieces.withColumn("begins", begins.cast("int"))
-    numbered = numbered.withColumn("run", F.sum("begins").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy(*by, "run").agg(F.min("i0").alias("i0"), F.max("i1").alias("i1"), F.first("v").alias("v")).drop("run")
+def joined(made: DataFrame, by: list[str], name: str) -> DataFrame:
+    """Rows (by, i0, i1, v) of an array of runs, with neighbours of one value made one run."""
+    runs = F.col(f"`{name}`")
+    find = F.arrow_udf(_joined_ends, "array<struct<i0:int,i1:int,at:int>>")
+    ends = made.select(*by, runs, find(runs["i0"], runs["i1"], runs["v"]).alias("ends"))
+    whole = F.transform("ends", lambda e: F.struct(e["i0"].alias("i0"), e["i1"].alias("i1"), F.get(runs, e["at"])["v"].alias("v")))
+    return ends.select(*by, F.inline(whole))
 
 
 def collected(pieces: DataFrame, by: list[str], name: str) -> DataFrame:
@@ -85,36 +173,51 @@ def collected(pieces: DataFrame, by: list[str], name: str) -> DataFrame:
     return pieces.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("i0", "i1", "v"))).alias(name))
 
 
+def _worked_out(
+    tiles: DataFrame, by: list[str], a: str, b: str, keep: Callable[[Column], Column], value: Callable[[Column], Column]
+) -> DataFrame:
+    """Runs of `value` where two tiles' pieces (a, b) are to be kept."""
+    met, pieces = _met(tiles, by, a, b)
+    made = F.transform(F.filter(pieces, keep), lambda p: F.struct(p["i0"].alias("i0"), p["i1"].alias("i1"), value(p).alias("v")))
+    return joined(met.select(*by, made.alias("made")), by, "made")
+
+
+def _in_both(p: Column) -> Column:
+    return p["a"].isNotNull() & p["b"].isNotNull()
+
+
 def multiply(tiles: DataFrame, by: list[str], a: str, b: str) -> DataFrame:
     """Runs of the product; no data where either has none."""
-    both = merged(tiles, by, a, b).where(F.col(f"`{a}`").isNotNull() & F.col(f"`{b}`").isNotNull())
-    return joined(both.select(*by, "i0", "i1", (F.col(f"`{a}`") * F.col(f"`{b}`")).alias("v")), by)
+    return _worked_out(tiles, by, a, b, _in_both, lambda p: p["a"] * p["b"])
 
 
 def greater(tiles: DataFrame, by: list[str], name: str, threshold: float) -> DataFrame:
     """Runs of 1 where the value is above the threshold and 0 where it is not."""
-    over = (F.col("v") > F.lit(threshold)).cast("int")
-    return joined(pieces_of(tiles, by, name).select(*by, "i0", "i1", over.alias("v")), by)
+
+    def over(r: Column) -> Column:
+        return F.struct(r["i0"].alias("i0"), r["i1"].alias("i1"), (r["v"] > F.lit(threshold)).cast("int").alias("v"))
+
+    return joined(tiles.select(*by, F.transform(F.col(f"`{name}`"), over).alias("made")), by, "made")
 
 
 def mask(tiles: DataFrame, by: list[str], name: str, other: str) -> DataFrame:
     """Runs of a tile where the other has data."""
-    both = merged(tiles, by, name, other).where(F.col(f"`{name}`").isNotNull() & F.col(f"`{other}`").isNotNull())
-    return joined(both.select(*by, "i0", "i1", F.col(f"`{name}`").alias("v")), by)
+    return _worked_out(tiles, by, name, other, _in_both, lambda p: p["a"])
 
 
 def mask_by_value(tiles: DataFrame, by: list[str], name: str, other: str, value: int) -> DataFrame:
     """Runs of a tile where the other does not equal `value`."""
-    kept = merged(tiles, by, name, other).where(F.col(f"`{name}`").isNotNull() & ~F.col(f"`{other}`").eqNullSafe(F.lit(value)))
-    return joined(kept.select(*by, "i0", "i1", F.col(f"`{name}`").alias("v")), by)
+
+    def kept(p: Column) -> Column:
+        return p["a"].isNotNull() & ~p["b"].eqNullSafe(F.lit(value))
+
+    return _worked_out(tiles, by, name, other, kept, lambda p: p["a"])
 
 
 def criterion(tiles: DataFrame, by: list[str], value: str, other: str, threshold: float) -> DataFrame:
     """Runs of 1 where `value` > 0 and `other` > threshold, else 0; no data where either has none.
     One merge: no tile of either condition is made."""
-    both = merged(tiles, by, value, other).where(F.col(f"`{value}`").isNotNull() & F.col(f"`{other}`").isNotNull())
-    met = ((F.col(f"`{value}`") > 0) & (F.col(f"`{other}`") > F.lit(threshold))).cast("int")
-    return joined(both.select(*by, "i0", "i1", met.alias("v")), by)
+    return _worked_out(tiles, by, value, other, _in_both, lambda p: ((p["a"] > 0) & (p["b"] > F.lit(threshold))).cast("int"))
 
 
 def largest(runs: Column) -> Column:
@@ -128,8 +231,14 @@ def cell_counts(pieces: DataFrame, by: list[str]) -> DataFrame:
     return pieces.groupBy(*by).agg(F.sum(length * F.col("v")).alias("total"), F.sum(length).alias("n"))
 
 
-def masked_by_coverage(cells: DataFrame, tiles: DataFrame, by: list[str], name: str) -> DataFrame:
-    """Runs of a tile under coverage rows that were met with it: `runs` of covered cells, and the
-    tile in column `name`. `by` tells coverage rows apart."""
+def masked_by_coverage(
+    cells: DataFrame, tiles: DataFrame, by: list[str], name: str, at: tuple[str, ...] = KEY, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Runs of a tile under the coverage rows of its key: `runs` of covered cells, and the tile in
+    column `name`. `by` tells coverage rows apart. Tiles in buckets of `at` stay where they are: they
+    stream past hash tables of the coverage. No side is broadcast."""
+    cells = stage(cells)
+    hint = "merge" if tuple(at) == tuple(KEY) else "shuffle_hash"
+    met = spread_join(cells, tiles, group_sizes(cells, list(at)), list(at), by, rows_per_task, hint)
     covered = F.transform("runs", lambda r: F.struct(r["i0"].alias("i0"), r["i1"].alias("i1"), F.lit(1).alias("v")))
-    return mask(cells.join(tiles, ["key_col", "key_row"]).withColumn("covered", covered), by, name, "covered")
+    return mask(met.withColumn("covered", covered), by, name, "covered")

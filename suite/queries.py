@@ -481,7 +481,7 @@ def tile_coverage_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tile of each location's segments under its coverage, as runs."""
     cells = cov.coverage_cells(inputs.locations(spark, sf_dir), SMALL)
     cells = cells.withColumn("segment", SMALL.segment(F.col("key_col"), F.col("key_row")))
-    tiles = inputs.run_stack(spark, sf_dir).select("segment", LAYERS.loss)
+    tiles = inputs.stack(spark, sf_dir).select("segment", LAYERS.loss)
     by = [*BY, *KEY]
     return run_tiles.cell_counts(run_tiles.masked_by_coverage(cells, tiles, by, LAYERS.loss, ("segment",)), by)
 

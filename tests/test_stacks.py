@@ -307,3 +307,5 @@ def test_tiles_under_coverage_are_never_broadcast(spark):
     made = run_tiles.masked_by_coverage(cells, tiles, by, "t", ("segment",))
     assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
     assert sorted((r["i0"], r["i1"], r["v"]) for r in made.collect()) == [(1, 3, 9), (5, 6, 9)]
+    dense = spark.createDataFrame([(7, [None, 9, 9, 9, 9, 9, 4])], "segment int, t array<int>")
+    assert run_tiles.masked_by_coverage(cells, dense, by, "t", ("segment",)).collect() == made.collect()

@@ -16,6 +16,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonal.functions.grid import KEY
 from zonal.operators.layers import ROWS_PER_TASK
@@ -23,16 +24,17 @@ from zonal.operators.staging import group_sizes, spread_join, stage
 
 
 def _arrow_functions():
-    """Functions of Arrow arrays that find where runs begin and end. They lie in here, so that they travel to
+    """Functions of Arrow arrays: the runs of cells, the pieces of two tiles, and runs whose equal
+    neighbours are made one. They lie in here, so that they travel to
     the tasks as they are: executors need not have this package."""
     import numpy as np
     import pyarrow.compute as pc
 
-    def listed(rows, lists: int, **columns):
-        """An Arrow array of `lists` lists of structs, from columns of them and the list of each."""
-        offsets = np.searchsorted(rows, np.arange(lists + 1)).astype("int32")
+    def listed(rows, lists, **columns):
+        """An Arrow array of lists of structs, NULL where `lists` is, from columns of them and the list of each."""
+        offsets = np.searchsorted(rows, np.arange(len(lists) + 1)).astype("int32")
         made = pa.StructArray.from_arrays([pa.array(c) for c in columns.values()], list(columns))
-        return pa.ListArray.from_arrays(pa.array(offsets), made)
+        return pa.ListArray.from_arrays(pa.array(offsets), made, mask=lists.is_null())
 
     def unlisted(lists):
         """The elements of an Arrow array of lists, the number of the list that each is in, and its place there."""
@@ -62,7 +64,7 @@ def _arrow_functions():
         return over
 
     @in_slices
-    def run_ends(cells: pa.Array) -> pa.Array:
+    def runs_of(cells: pa.Array) -> pa.Array:
         values, rows, at = unlisted(cells)
         same, none = like_the_one_before(values, rows)
         starts = np.flatnonzero(~same)
@@ -70,55 +72,55 @@ def _arrow_functions():
         keep = ~none[starts]
         starts, lasts = starts[keep], lasts[keep]
         first, last = at[starts].astype("int32"), (at[lasts] + 1).astype("int32")
-        return listed(rows[starts], len(cells), i0=first, i1=last, v=values.take(pa.array(starts)))
+        return listed(rows[starts], cells, i0=first, i1=last, v=values.take(pa.array(starts)))
+
+    def ends_of(runs):
+        return [runs.field(name).to_numpy(zero_copy_only=False).astype("int64") for name in ("i0", "i1")]
 
     @in_slices
-    def piece_ends(a0: pa.Array, a1: pa.Array, b0: pa.Array, b1: pa.Array) -> pa.Array:
-        """Pieces of two tiles, with the place of the run of each that holds the piece."""
+    def pieces(a: pa.Array, b: pa.Array) -> pa.Array:
         sides, wide = [], 1
-        for begin, end in ((a0, a1), (b0, b1)):
-            first, rows, at = unlisted(begin)
-            first, last = [x.to_numpy(zero_copy_only=False).astype("int64") for x in (first, unlisted(end)[0])]
+        for lists in (a, b):
+            runs, rows, _ = unlisted(lists)
+            first, last = ends_of(runs)
             wide = max(wide, int(last.max(initial=0)) + 1)
-            sides.append((first, last, rows, at))
+            sides.append((first, last, rows, runs.field("v")))
         # tiles one after another on one axis
-        sides = [(first + rows * wide, last + rows * wide, at) for first, last, rows, at in sides]
+        sides = [(first + rows * wide, last + rows * wide, v) for first, last, rows, v in sides]
         cuts = np.unique(np.concatenate([x for first, last, _ in sides for x in (first, last)]))
         begin, end = cuts[:-1], cuts[1:]
         held = []
-        for first, last, at in sides:
+        for first, last, _ in sides:
             run = np.searchsorted(first, begin, "right") - 1
             found = run >= 0
             found[found] = last[run[found]] > begin[found]
-            place = np.full(len(begin), -1, "int32")
-            place[found] = at[run[found]]
-            held.append(place)
+            held.append(np.where(found, run, -1))
         keep = (held[0] >= 0) | (held[1] >= 0)
         rows = begin[keep] // wide
-        a, b = [pa.array(x[keep], mask=x[keep] < 0) for x in held]
-        return listed(rows, len(a0), i0=(begin[keep] - rows * wide).astype("int32"), i1=(end[keep] - rows * wide).astype("int32"), a=a, b=b)
+        i0, i1 = [(x[keep] - rows * wide).astype("int32") for x in (begin, end)]
+        values = [v.take(pa.array(run[keep], mask=run[keep] < 0)) for run, (_, _, v) in zip(held, sides)]
+        return listed(rows, a, i0=i0, i1=i1, a=values[0], b=values[1])
 
     @in_slices
-    def joined_ends(i0: pa.Array, i1: pa.Array, v: pa.Array) -> pa.Array:
-        """Neighbours of one value made one run, with the place of the first of them."""
-        first, rows, at = unlisted(i0)
-        first, last = [x.to_numpy(zero_copy_only=False) for x in (first, unlisted(i1)[0])]
-        same, _ = like_the_one_before(unlisted(v)[0], rows)
+    def joined_runs(lists: pa.Array) -> pa.Array:
+        runs, rows, _ = unlisted(lists)
+        first, last = ends_of(runs)
+        same, _ = like_the_one_before(runs.field("v"), rows)
         same[1:] &= last[:-1] == first[1:]
         starts = np.flatnonzero(~same)
         lasts = np.append(starts[1:], len(rows))[: len(starts)] - 1
-        first, last = first[starts].astype("int32"), last[lasts].astype("int32")
-        return listed(rows[starts], len(i0), i0=first, i1=last, at=at[starts].astype("int32"))
+        i0, i1 = first[starts].astype("int32"), last[lasts].astype("int32")
+        return listed(rows[starts], lists, i0=i0, i1=i1, v=runs.field("v").take(pa.array(starts)))
 
-    return run_ends, piece_ends, joined_ends
+    return runs_of, pieces, joined_runs
 
 
-_run_ends, _piece_ends, _joined_ends = _arrow_functions()
+_runs_of, _pieces, _joined_runs = _arrow_functions()
 
 
 def to_runs(cells: Column, of: str = "int") -> Column:
     """An array of cells of the type `of` to its runs."""
-    return F.when(cells.isNotNull(), F.arrow_udf(_run_ends, f"array<struct<i0:int,i1:int,v:{of}>>")(cells))
+    return F.arrow_udf(_runs_of, f"array<struct<i0:int,i1:int,v:{of}>>")(cells)
 
 
 def to_cells(runs: Column, size: int) -> Column:
@@ -134,24 +136,22 @@ def to_cells(runs: Column, size: int) -> Column:
     return F.flatten(F.zip_with(runs, ends, stretch))
 
 
-def _met(tiles: DataFrame, by: list[str], a: str, b: str) -> tuple[DataFrame, Column]:
-    """The tiles in columns `a` and `b`, and the array of their pieces (i0, i1, a, b)."""
-    runs_a, runs_b = F.col(f"`{a}`"), F.col(f"`{b}`")
-    find = F.arrow_udf(_piece_ends, "array<struct<i0:int,i1:int,a:int,b:int>>")
-    ends = find(runs_a["i0"], runs_a["i1"], runs_b["i0"], runs_b["i1"])
+def _value_type(tiles: DataFrame, name: str) -> str:
+    return tiles.schema[name].dataType.elementType["v"].dataType.simpleString()
 
-    def piece(e: Column) -> Column:
-        values = [F.get(runs, e[side])["v"].alias(side) for side, runs in (("a", runs_a), ("b", runs_b))]
-        return F.struct(e["i0"].alias("i0"), e["i1"].alias("i1"), *values)
 
-    return tiles.select(*by, runs_a, runs_b, ends.alias("pieces")), F.transform("pieces", piece)
+def _met(tiles: DataFrame, a: str, b: str) -> Column:
+    """The array of pieces (i0, i1, a, b) of the tiles in columns `a` and `b`."""
+    types = f"a:{_value_type(tiles, a)},b:{_value_type(tiles, b)}"
+    none = F.array().cast(tiles.schema[a].dataType)
+    # the list of the first is NULL where its tile is missing, and the other may still have data
+    return F.arrow_udf(_pieces, f"array<struct<i0:int,i1:int,{types}>>")(F.coalesce(F.col(f"`{a}`"), none), F.col(f"`{b}`"))
 
 
 def merged(tiles: DataFrame, by: list[str], a: str, b: str) -> DataFrame:
     """Pieces on which the tiles in columns `a` and `b` are constant: by, i0, i1 and both values,
     NULL for no data. Pieces without data in both are left out."""
-    met, pieces = _met(tiles, by, a, b)
-    return met.select(*by, F.inline(pieces).alias("i0", "i1", a, b))
+    return tiles.select(*by, F.inline(_met(tiles, a, b)).alias("i0", "i1", a, b))
 
 
 def pieces_of(tiles: DataFrame, by: list[str], name: str) -> DataFrame:
@@ -161,11 +161,8 @@ def pieces_of(tiles: DataFrame, by: list[str], name: str) -> DataFrame:
 
 def joined(made: DataFrame, by: list[str], name: str) -> DataFrame:
     """Rows (by, i0, i1, v) of an array of runs, with neighbours of one value made one run."""
-    runs = F.col(f"`{name}`")
-    find = F.arrow_udf(_joined_ends, "array<struct<i0:int,i1:int,at:int>>")
-    ends = made.select(*by, runs, find(runs["i0"], runs["i1"], runs["v"]).alias("ends"))
-    whole = F.transform("ends", lambda e: F.struct(e["i0"].alias("i0"), e["i1"].alias("i1"), F.get(runs, e["at"])["v"].alias("v")))
-    return ends.select(*by, F.inline(whole))
+    found = F.arrow_udf(_joined_runs, f"array<struct<i0:int,i1:int,v:{_value_type(made, name)}>>")(F.col(f"`{name}`"))
+    return made.select(*by, F.inline(found))
 
 
 def collected(pieces: DataFrame, by: list[str], name: str) -> DataFrame:
@@ -177,9 +174,8 @@ def _worked_out(
     tiles: DataFrame, by: list[str], a: str, b: str, keep: Callable[[Column], Column], value: Callable[[Column], Column]
 ) -> DataFrame:
     """Runs of `value` where two tiles' pieces (a, b) are to be kept."""
-    met, pieces = _met(tiles, by, a, b)
-    made = F.transform(F.filter(pieces, keep), lambda p: F.struct(p["i0"].alias("i0"), p["i1"].alias("i1"), value(p).alias("v")))
-    return joined(met.select(*by, made.alias("made")), by, "made")
+    made = F.transform(F.filter(_met(tiles, a, b), keep), lambda p: F.struct(p["i0"].alias("i0"), p["i1"].alias("i1"), value(p).alias("v")))
+    return joined(tiles.select(*by, made.alias("made")), by, "made")
 
 
 def _in_both(p: Column) -> Column:
@@ -235,10 +231,14 @@ def masked_by_coverage(
     cells: DataFrame, tiles: DataFrame, by: list[str], name: str, at: tuple[str, ...] = KEY, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Runs of a tile under the coverage rows of its key: `runs` of covered cells, and the tile in
-    column `name`. `by` tells coverage rows apart. Tiles in buckets of `at` stay where they are: they
-    stream past hash tables of the coverage. No side is broadcast."""
+    column `name`, its runs or its cells. `by` tells coverage rows apart. Cells in buckets of `at` stay
+    where they are: they stream past hash tables of the coverage and become runs after that, as no
+    Arrow function keeps buckets. No side is broadcast."""
     cells = stage(cells)
     hint = "merge" if tuple(at) == tuple(KEY) else "shuffle_hash"
     met = spread_join(cells, tiles, group_sizes(cells, list(at)), list(at), by, rows_per_task, hint)
+    held = tiles.schema[name].dataType.elementType
+    if not isinstance(held, T.StructType):
+        met = met.withColumn(name, to_runs(F.col(f"`{name}`"), held.simpleString()))
     covered = F.transform("runs", lambda r: F.struct(r["i0"].alias("i0"), r["i1"].alias("i1"), F.lit(1).alias("v")))
     return mask(met.withColumn("covered", covered), by, name, "covered")

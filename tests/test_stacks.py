@@ -161,6 +161,45 @@ def test_prefix_sums_cost_two_look_ups_a_run(world, spark, stack, tmp_path):  #
     assert [r["count"] for r in met.groupBy("location_id").count().collect()] == [key["count"]] * 2
 
 
+def test_prefix_sums_and_summaries_stay_in_the_buckets(world, spark, stack, tmp_path):  # noqa: F811
+    """Nothing is sent when they are made, and only coverage when they are asked."""
+    analyses = standard_analyses()
+    held, names = read_stack(spark, stack), [a.name for a in analyses]
+    for made in (summaries.prefix_rows(held, TINY, analyses, L.loss), summaries.tile_summaries(held, TINY, analyses, L.loss)):
+        assert not nodes(made, "Exchange") and nodes(made, "Scan parquet")
+    summaries.write_prefixes(held, str(tmp_path / "p"), TINY, analyses, L.loss)
+    summaries.write_summaries(held, str(tmp_path / "m"), TINY, analyses, L.loss)
+    prefixes = summaries.read_prefixes(spark, str(tmp_path / "p"), analyses)
+    whole = summaries.read_summaries(spark, str(tmp_path / "m"), analyses)
+    runs = stage(cov.coverage_runs(world[1], TINY))
+    by = ["list_id", "location_id", "key_col", "key_row"]
+    found = summaries.zonal_prefix(runs, prefixes, by, names)
+    assert len(nodes(found, "Exchange")) == 1, "the runs"
+    assert len(nodes(summaries.whole_counts(runs.withColumn("n_pixels", F.lit(1)), whole, by, names), "Exchange")) == 2, "the rows, and their sums"
+    # the same from rows without buckets, and where segments are hot
+    want = sorted(map(tuple, found.collect()), key=str)
+    assert want and want == sorted(map(tuple, summaries.zonal_prefix(runs, stage(prefixes.drop("segment")), by, names).collect()), key=str)
+    assert want == sorted(map(tuple, summaries.zonal_prefix(runs, prefixes, by, names, rows_per_task=1).collect()), key=str)
+
+
+def test_prefix_sums_of_wide_blocks_and_of_tiles_that_come_twice(spark):
+    """More columns than a long has bits, the sixty-fourth among them."""
+    grid, size = Grid(px_per_deg=130, file_deg=10, block=130), 130
+    cell = "if(i % 5 = 0, null, cast(i * 7 % 3 as int)) as v"
+    tile = spark.range(size * size).selectExpr("cast(id as int) as i").selectExpr("i", cell).agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("t"))
+    tile = tile.select(F.lit(1).alias("key_col"), F.lit(2).alias("key_row"), F.transform("t", lambda x: x["v"]).alias(L.loss))
+    analyses = [plans.Analysis("n", ())]
+    made = summaries.prefix_rows(stage(tile.unionByName(tile)), grid, analyses, L.loss)
+    got = {}
+    for r in made.collect():
+        got.setdefault((r["r"], r["bucket"]), []).append(list(r["n"]))
+    want = {}
+    for i in range(size * size):
+        if i % 5:
+            want.setdefault((i // size, i * 7 % 3), set()).add(i % size)
+    assert got == {k: [[sum(x < c for x in held) for c in range(size + 1)]] * 2 for k, held in want.items()}
+
+
 def test_runs_agree_with_arrays_on_full_blocks(spark):
     """400 x 400 cells, of noise, of patches, empty, and one value; joined runs of nothing."""
     noise = "if(abs(hash(i)) % 7 = 0, null, cast(abs(hash(i, 3)) % 24 as int))"

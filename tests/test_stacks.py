@@ -200,6 +200,27 @@ def test_prefix_sums_of_wide_blocks_and_of_tiles_that_come_twice(spark):
     assert got == {k: [[sum(x < c for x in held) for c in range(size + 1)]] * 2 for k, held in want.items()}
 
 
+def test_joins_with_tiles_get_tasks_by_their_cells(world, spark, monkeypatch):  # noqa: F811
+    """No task of a join sorts more than its share, however few the session has."""
+    _, locations, tiles = world
+    cells = stage(cov.coverage_cells(locations, TINY))
+    want = as_dict(loss_by_year_histogram(locations, tiles, TINY))
+    rows = sorted(map(str, lay.locations_with_tiles(cells, tiles, L.peat, TINY, how="left").collect()))
+    sizes = group_sizes(cells, ["key_col", "key_row"])
+    assert lay.join_tasks(sizes, 4, TINY) == 0
+    work = (sizes.count() * 4 + cells.count()) * TINY.cells
+    monkeypatch.setattr(lay, "CELLS_PER_TASK", work // 20)
+    monkeypatch.setattr("zonal.operators.staging.COUNTED_PER_TASK", max(1, cells.count() // 20))
+    tasks = lay.join_tasks(sizes, 4, TINY)
+    assert tasks >= 20
+    made = lay.values_of(cells, tiles, FOUR, TINY)
+    exchanges = nodes(made, "Exchange")
+    assert len(exchanges) == 6 and all(f", {tasks})" in x for x in exchanges), "the rows, the keys and four layers"
+    close(as_dict(loss_by_year_histogram(locations, tiles, TINY)), want)
+    close(as_dict(loss_by_year_histogram(locations, tiles, TINY, rows_per_task=2)), want)
+    assert rows == sorted(map(str, lay.locations_with_tiles(cells, tiles, L.peat, TINY, how="left").collect()))
+
+
 def test_runs_agree_with_arrays_on_full_blocks(spark):
     """400 x 400 cells, of noise, of patches, empty, and one value; joined runs of nothing."""
     noise = "if(abs(hash(i)) % 7 = 0, null, cast(abs(hash(i, 3)) % 24 as int))"

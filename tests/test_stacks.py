@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from zonal.operators.two_level import two_level_cells
 from zonal.plans import analyses as plans
 from zonal.plans import summaries
 from zonal.plans.classes import add_class_maps, class_areas, class_maps
+from zonal.sources import stacks
 from zonal.sources.stacks import read_stack, write_stack
 from zonal.sources.tiles import read_tiles, write_tiles
 
@@ -369,3 +371,27 @@ def test_tiles_under_coverage_are_never_broadcast(spark):
     assert sorted((r["i0"], r["i1"], r["v"]) for r in made.collect()) == [(1, 3, 9), (5, 6, 9)]
     dense = spark.createDataFrame([(7, [None, 9, 9, 9, 9, 9, 4])], "segment int, t array<int>")
     assert run_tiles.masked_by_coverage(cells, dense, by, "t", ("segment",)).collect() == made.collect()
+
+
+def test_what_is_written_leaves_no_shuffle_behind(spark, tmp_path):
+    from zonal.operators import staging
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+    before = shuffles()
+    numbers = spark.range(1000).select(F.col("id").alias("segment"), (F.col("id") % 7).alias("b"))
+    held = stage(numbers.groupBy("b").agg(F.sum("segment").alias("s")))
+    assert sorted(tuple(r) for r in held.collect()) == [(b, sum(range(b, 1000, 7))) for b in range(7)]
+    until = time.time() + 10  # executors are told, and not waited for
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.1)
+    assert shuffles() - before == set()
+    stacks.write_buckets(numbers, f"{tmp_path}/b", 4, ["segment"])
+    assert all(".zstd." in f for f in [*held.inputFiles(), *spark.read.parquet(f"{tmp_path}/b").inputFiles()])
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own = spark.conf.get(name)
+    with staging.shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name) == own

@@ -420,7 +420,9 @@ def coverage_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     pixels = cov.coverage_pixels(inputs.locations(spark, sf_dir), SMALL)
     row = F.col("key_row") * SMALL.block + F.col("r")
     column = F.col("key_col") * SMALL.block + F.col("c")
-    return pixels.groupBy(*BY, row.alias("r")).agg(F.count(F.lit(1)).alias("n"), F.sum(column).alias("sum_c"))
+    # a row of pixels by its segment row and its place there: so the pixels lie where they were made
+    rows = pixels.groupBy(*BY, "key_row", "r").agg(F.count(F.lit(1)).alias("n"), F.sum(column).alias("sum_c"))
+    return rows.select(*BY, row.alias("r"), "n", "sum_c")
 
 
 @query

@@ -186,3 +186,28 @@ def test_tasks_grow_with_the_pixel_rows(spark, rule, monkeypatch):
     got = covered(df, rule)
     for list_id, location_id, rings in rows:
         assert sorted(got.get((list_id, location_id), [])) == sorted(pixels(rings, rule))
+
+
+@pytest.mark.parametrize("value", ["runs", "mask"])
+def test_tasks_of_cell_maps_grow_with_the_runs(spark, value, monkeypatch):
+    cells = cov.coverage_cells(frame(spark, random_rows(31, 24)), TINY)
+    want = {tuple(r[:4]): r["runs"] for r in cells.select(*cov.LOC, *cov.KEY, "runs").collect()}
+    monkeypatch.setattr(cov, "RUNS_PER_TASK", 16)
+    tasks = -(-sum(map(len, want.values())) // 16)
+    assert tasks > 8
+    made = cov.cell_map(cells, TINY, value)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert f", {tasks}), REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 1
+    got = cov.explode_cell_map(made, value).select(*cov.LOC, *cov.KEY, value).collect()
+    assert len(got) == len(want)
+    for row in got:
+        runs = want[tuple(row[:4])]
+        covered = sorted(i for run in runs for i in range(run["i0"], run["i1"]))
+        assert row[value] == runs if value == "runs" else [i for i, m in enumerate(row[value]) if m] == covered
+
+
+def test_pixel_rows_are_counted_where_they_were_made(spark):
+    from suite.queries import QUERIES
+
+    plan = QUERIES["coverage_pixels"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 4

@@ -216,3 +216,18 @@ def test_layer_names_are_parameters(world):
     renamed = tiles.withColumn("layer", F.concat(F.lit("my_"), "layer"))
     mine = Layers(*[f"my_{v}" for v in (L.loss, L.density, L.primary, L.peat)])
     close(as_dict(loss_by_year_histogram(locations, renamed, TINY, mine)), as_dict(loss_by_year_histogram(locations, tiles, TINY)))
+
+
+@pytest.mark.parametrize("job", [loss_by_year_pixelwise, loss_by_year_histogram])
+def test_tasks_of_sums_grow_with_the_locations(spark, world, job, monkeypatch):  # noqa: F811
+    from zonal.operators import aggregates
+
+    rows, locations, tiles = world
+    want = as_dict(job(locations, tiles, TINY))
+    monkeypatch.setattr(aggregates, "SUMS_PER_TASK", 100)
+    tasks = -(-len(rows) * 32 // 100)
+    made = job(locations, tiles, TINY)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert tasks > 8 and f", {tasks}), REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 1
+    close(as_dict(made), want)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"

@@ -140,6 +140,19 @@ def test_words_encode_as_whole_texts():
     assert words.encode(texts) == whole.encode(texts) == words.encode(texts)
 
 
+def test_plain_words_go_to_the_model_by_pieces():
+    rng = random.Random(11)
+    signs = "abZ09.,;:!?()-'$%&|<>*_\n\t éÀ×ɏЯ҂中ß½ 　`"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    texts += ["\nfoo\n bar\n\nbaz \n q", "don't we'll 'tis", "a<|endoftext|>b c", " a", "a ", "x\n"]
+    words, whole = token_files.Encoder(tokenizer_path(), True), token_files.Encoder(tokenizer_path(), False)
+    assert words.encode(texts) == whole.encode(texts) == words.encode(texts)
+    plain = ["Quite new, and (plain)\nwords; größer 42%"]
+    want, words.tokenizer = whole.encode(plain), None
+    words.ids = lambda left: [] if not left else pytest.fail(str(left))
+    assert words.encode(plain) == want
+
+
 def test_url_lists(spark):
     day = "cast(day as date) day"
     entries = spark.createDataFrame(

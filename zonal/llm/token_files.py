@@ -21,18 +21,44 @@ from zonal.llm.common import Finished, pieces, ship, store_of
 # Distinct words a worker remembers the ids of; further ones are encoded each time they occur.
 REMEMBERED = 1_000_000
 
-# A space with white space or the end after it: a cut before it could move a token border.
-UNSAFE = re.compile(r" (?:\s|\Z)")
+# Words that a byte-level tokenizer surely cuts between letters, digits, line ends and other signs,
+# and those pieces: printable ASCII without quotes of contractions or "<", Latin, Cyrillic and Han letters,
+# and line ends that stand alone.
+LETTERS = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481\u4e00-\u9fa5"
+PLAIN = re.compile(rf"(?:[!-&(-;=-~{LETTERS}]|\n(?!\n))+")
+PIECES = re.compile(rf"[{LETTERS}]+|[0-9]+|\n|[^{LETTERS}0-9\n]+")
+
+# The character that such a tokenizer writes for a byte where it is not the one of that code.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTES = {byte: 256 + k for k, byte in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 _encoders: dict = {}
 
 
+def cuts_plainly(tokenizer) -> bool:
+    """Whether a tokenizer does nothing to a plain word but cut it into pieces, byte by byte, and
+    hand these to its model."""
+    setup = json.loads(tokenizer.to_str())
+    cutter = setup["pre_tokenizer"] or {}
+    usual = cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not cutter.get("add_prefix_space")
+    other = [setup[k] for k in ("normalizer", "post_processor", "truncation", "padding")]
+    added = [t["content"] for t in setup["added_tokens"]]
+    return bool(usual) and not any(other) and not any(PLAIN.fullmatch(x) or " " in x.strip(" ") for x in added)
+
+
+def unsafe(word: str) -> bool:
+    """Whether a cut before the space ahead of this word could move a token border: white space or
+    the end follows that space."""
+    return not word or word[0].isspace()
+
+
 class Encoder:
     """The tokenizer, with a memory of words. Before a space that follows anything and precedes
     a visible character, a byte-level tokenizer always starts a new piece, so ids of a text are
     the ids of its space-separated words, each with the space before it. Texts with other
     spacing go to the tokenizer whole. Only for tokenizers whose pieces do not cross such spaces
-    (`by_words`); others always get the whole text."""
+    (`by_words`); others always get the whole text. Plain words that are new go to the tokenizer's
+    model piece by piece, where that is all the tokenizer would do."""
 
     def __init__(self, path: str, by_words: bool):
         import os
@@ -42,6 +68,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_words = by_words
+        self.model = self.tokenizer.model if by_words and cuts_plainly(self.tokenizer) else None
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.code = "H" if self.dtype == "<u2" else "I"
         self.known: dict[str, bytes] = {}
@@ -56,7 +83,7 @@ class Encoder:
         whole, unfinished, new, new_firsts = [], [], set(), set()
         look, look_first = self.known.get, self.firsts.get
         for k, text in enumerate(texts):
-            if not self.by_words or UNSAFE.search(text):
+            if not self.by_words:
                 whole.append(k)
                 continue
             words = text.split(" ")
@@ -66,6 +93,10 @@ class Encoder:
                 out[k] = b"".join(found)
                 continue
             gaps = [n for n, ids in enumerate(found) if ids is None]
+            # unsafe words are never remembered, so they are among the gaps
+            if any(n and unsafe(words[n]) for n in gaps):
+                whole.append(k)
+                continue
             if gaps[0] == 0:
                 new_firsts.add(words[0])
             new.update([words[n] for n in gaps if n])
@@ -80,12 +111,32 @@ class Encoder:
             out[k] = ids
         return out
 
+    def _of_pieces(self, before: str, word: str) -> bytes:
+        """Ids of a plain word, as the model has them for its pieces."""
+        if word.isalpha():
+            return self._of_piece(before, word)
+        first, *others = PIECES.findall(word)
+        return self._of_piece(before, first) + b"".join([self._of_piece("", piece) for piece in others])
+
+    def _of_piece(self, before: str, piece: str) -> bytes:
+        known = self.known if before else self.firsts
+        ids = known.get(piece)
+        if ids is None:
+            shown = before + piece if piece.isascii() else (before + piece).encode().decode("latin-1")
+            ids = array(self.code, [t.id for t in self.model.tokenize(shown.translate(BYTES))]).tobytes()
+            if len(known) < REMEMBERED:
+                known[piece] = ids
+        return ids
+
     def _learned(self, known: dict, new: set, before: str) -> dict:
         """Ids of new words, remembered while there is room."""
         if not new:
             return {}
-        words = list(new)
-        held = dict(zip(words, self.ids([before + w for w in words])))
+        held = {}
+        if self.model is not None:
+            held = {w: self._of_pieces(before, w) for w in new if PLAIN.fullmatch(w)}
+        words = [w for w in new if w not in held]
+        held.update(zip(words, self.ids([before + w for w in words])))
         if len(known) < REMEMBERED:
             known.update(held)
         return held

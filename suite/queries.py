@@ -490,7 +490,8 @@ def tile_coverage_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_totals(spark: SparkSession, sf_dir: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Sum and number of the cells of every tile, also of those that have none."""
-    tiles = stage(inputs.run_stack(spark, sf_dir))
+    # the stack is written: each reader takes the layers it needs from there, and their runs are kept nowhere
+    tiles = inputs.run_stack(spark, sf_dir)
     counted = run_tiles.cell_counts(make(tiles), ["segment"])
     joined = tiles.select("segment", *KEY).join(counted, "segment", "left")
     return joined.select(*KEY, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total", "n")])

@@ -395,3 +395,15 @@ def test_what_is_written_leaves_no_shuffle_behind(spark, tmp_path):
     with staging.shuffles_dropped(spark):
         assert spark.conf.get(name) == "true"
     assert spark.conf.get(name) == own
+
+
+def test_run_totals_write_no_runs(spark, monkeypatch):
+    from suite import inputs, queries
+
+    rows = [(0, 0, 0, [1, 1, None, 0], [5, 5, 7, 9]), (1, 1, 0, [None] * 4, [1, 2, 3, 4]), (2, 2, 0, None, [1, 1, 1, 1]), (3, 3, 0, [4, 4, 4, 4], None)]
+    stack = spark.createDataFrame(rows, f"segment bigint, key_col int, key_row int, `{L.loss}` array<int>, `{L.density}` array<int>")
+    runs = stack.select("segment", "key_col", "key_row", *[run_tiles.to_runs(F.col(c)).alias(c) for c in (L.loss, L.density)])
+    monkeypatch.setattr(inputs, "run_stack", lambda spark, sf_dir: runs)
+    monkeypatch.setattr(queries, "stage", lambda df: pytest.fail("runs are kept"))
+    got = queries.tile_runs_mask(spark, "")
+    assert sorted(map(tuple, got.collect())) == [(0, 0, 19, 3), (1, 0, 0, 0), (2, 0, 0, 0), (3, 0, 0, 0)]

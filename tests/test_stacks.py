@@ -202,6 +202,48 @@ def test_prefix_sums_of_wide_blocks_and_of_tiles_that_come_twice(spark):
     assert got == {k: [[sum(x < c for x in held) for c in range(size + 1)]] * 2 for k, held in want.items()}
 
 
+def test_prefix_sums_are_made_in_passing_and_stored_by_pixel_row(spark, tmp_path):
+    """No table of groups is held, a pixel row is one row of longs, and runs are answered from these.
+    Batches end within pixel rows, counts take several longs, and some codes have no slot."""
+    grid, size = Grid(px_per_deg=130, file_deg=10, block=130), 130
+    analyses = [plans.Analysis("n", (), yearly=False), plans.Analysis("dense", ((L.density, 1),))]
+    names, codes = [a.name for a in analyses], {}
+    for i in range(size * 3):
+        codes[i] = (None if i % 5 == 0 else 40 if i % 7 == 0 else i % 3, None if i % 11 == 0 else i % 4)
+    cells = [[codes.get(i, (None, 0))[k] for i in range(size * size)] for k in (0, 1)]
+    stack = stage(spark.createDataFrame([(1, 2, *cells)] * 2, f"key_col int, key_row int, {L.loss} array<int>, {L.density} array<int>"))
+    made = summaries.prefix_rows(stack, grid, analyses, L.loss)
+    assert not [kind for kind in ("HashAggregate", "SortAggregate", "ObjectHashAggregate", "Sort") if nodes(made, kind)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        summaries.write_prefixes(stack, str(tmp_path / "p"), grid, analyses, L.loss)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert spark.read.parquet(str(tmp_path / "p" / "rows")).groupBy("r").count().agg(F.max("count"), F.count("r")).first() == (2, size)
+    prefixes = summaries.read_prefixes(spark, str(tmp_path / "p"), analyses)
+    held = sorted(map(tuple, made.collect()), key=str)
+    assert held == sorted(map(tuple, prefixes.collect()), key=str)
+    rng = random.Random(5)
+    ends = [(0, size), (0, 1), (129, 130), (6, 7), (7, 63), *[sorted(rng.sample(range(size + 1), 2)) for _ in range(12)]]
+    asked = [(1, n, 1, 2, n % 3, c0, c1) for n, (c0, c1) in enumerate(ends)] + [(1, 99, 5, 5, 0, 0, size)]
+    runs = stage(spark.createDataFrame(asked, "list_id bigint, location_id bigint, key_col int, key_row int, r int, c0 int, c1 int"))
+    want = {}
+    for _, n, col, _, r, c0, c1 in asked:
+        for i in range(r * size + c0, r * size + c1) if col == 1 else ():
+            loss, density = codes[i]
+            slot = loss if loss is not None and loss < 32 else None
+            sums = want.setdefault((n, slot), [0, 0])
+            sums[0] += 2
+            # cells without a slot are kept by the analysis that is not yearly
+            sums[1] += 2 * (density is not None and density > 1)
+    for asked_of in (prefixes, prefixes.where("r < 3")):
+        for share in (10**9, 2):
+            got = summaries.zonal_prefix(runs, asked_of, ["location_id"], names, share).collect()
+            assert {(r["location_id"], r["bucket"]): [r["n"], r["dense"]] for r in got} == want
+    found = summaries.zonal_prefix(runs, prefixes, ["location_id", "key_col", "key_row"], names)
+    assert len(nodes(found, "Exchange")) == 1 and nodes(found, "ShuffledHashJoin") and not nodes(found, "ObjectHashAggregate")
+
+
 def test_joins_with_tiles_get_tasks_by_their_cells(world, spark, monkeypatch):  # noqa: F811
     """No task of a join sorts more than its share, however few the session has."""
     _, locations, tiles = world
